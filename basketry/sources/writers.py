@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 MAX_RECORDS_PER_FILE = 20_000_000
+ORDER_PARTITIONS = ("order_date", "region")
+MONTHLY_ORDER_PARTITIONS = ("order_month_start",)
 
 
 def register_views(tables: Mapping[str, DataFrame], layer: str | None = None) -> list[str]:
@@ -50,9 +52,19 @@ def write_table(
     )
 
 
-def write_fct_orders(fct_orders: DataFrame, path: str, **options) -> None:
-    """By day, then region; clustered for the user and product keys of joins and aggregations."""
-    write_table(fct_orders, path, ["order_date", "region"], ["user_id", "product_id"], **options)
+def with_order_month(fct_orders: DataFrame) -> DataFrame:
+    return fct_orders.withColumn("order_month_start", F.trunc("order_date", "MM").cast("date"))
+
+
+def write_fct_orders(
+    fct_orders: DataFrame, path: str, partition_by: Sequence[str] = ORDER_PARTITIONS, **options
+) -> None:
+    """By day, then region; clustered for the user and product keys of joins and aggregations.
+
+    A table with too few orders a day to fill files takes ``with_order_month``
+    and ``MONTHLY_ORDER_PARTITIONS``.
+    """
+    write_table(fct_orders, path, partition_by, ["user_id", "product_id"], **options)
 
 
 def write_stg_events(stg_events: DataFrame, path: str, **options) -> None:
@@ -61,8 +73,14 @@ def write_stg_events(stg_events: DataFrame, path: str, **options) -> None:
     write_table(dated, path, ["event_date"], ["event_type", "device_type"], **options)
 
 
+def with_revenue_month(agg_daily_revenue: DataFrame) -> DataFrame:
+    return agg_daily_revenue.withColumn("revenue_month", F.trunc("order_date", "MM").cast("date"))
+
+
 def write_daily_revenue(agg_daily_revenue: DataFrame, path: str, **options) -> None:
-    write_table(agg_daily_revenue, path, ["order_date"], ["region", "user_plan_type"], **options)
+    """By month: a day is only regions times plans rows, far too few for files of its own."""
+    monthly = with_revenue_month(agg_daily_revenue)
+    write_table(monthly, path, ["revenue_month"], ["order_date", "region", "user_plan_type"], **options)
 
 
 def write_product_performance(agg_product_performance: DataFrame, path: str) -> None:

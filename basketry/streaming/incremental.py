@@ -10,7 +10,7 @@ one while a run publishes.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -61,6 +61,45 @@ def touched_values(df: DataFrame, column: str) -> list:
     return [row[0] for row in df.select(column).distinct().collect()]
 
 
+def _rewrite_partitions(
+    spark: SparkSession,
+    target: str,
+    schema: T.StructType,
+    partition_by: Sequence[str],
+    run_dir: str,
+    touched: Callable[[DataFrame | None], list],
+    merge: Callable[[DataFrame | None], DataFrame],
+    cluster_by: Sequence[str] = (),
+    remember: Sequence[str] = (),
+) -> None:
+    """Replace the partitions whose first column is ``touched`` by what ``merge`` makes of their rows.
+
+    The run folder keeps the replaced partitions' folders and distinct ``remember`` values.
+    """
+    lead = partition_by[0]
+    merged_path, before_path = f"{run_dir}/merged", f"{run_dir}/before"
+    if not paths.finished(spark, merged_path):
+        old = None
+        if paths.exists(spark, target):
+            stored = spark.read.schema(schema).parquet(target)
+            old = stored.filter(_is_one_of(lead, touched(stored)))
+            folder = F.regexp_extract("_metadata.file_path", "^(.*)/[^/]*$", 1).alias(_FOLDER)
+            noted = old.select(*dict.fromkeys([*partition_by, *remember]), folder).distinct()
+            noted.write.mode("overwrite").parquet(before_path)
+        # Unpartitioned: here the partition columns stay inside the files.
+        merge(old).select(*schema.fieldNames()).write.mode("overwrite").parquet(merged_path)
+
+    merged = spark.read.schema(schema).parquet(merged_path)
+    writers.write_table(merged, target, partition_by, cluster_by, only_written_partitions=True)
+    if paths.finished(spark, before_path):
+        columns = T.StructType([schema[c] for c in partition_by]).add(_FOLDER, T.StringType())
+        before = spark.read.schema(columns).parquet(before_path)
+        kept = merged.select(*partition_by).distinct()
+        emptied = before.join(kept, _same_key(before, kept, partition_by), "left_anti")
+        for folder in touched_values(emptied, _FOLDER):
+            paths.delete(spark, folder)
+
+
 def upsert(
     spark: SparkSession,
     incoming: DataFrame,
@@ -69,84 +108,90 @@ def upsert(
     partition_by: Sequence[str],
     run_dir: str,
     preference: Sequence[Column] = (),
+    batch_preference: Sequence[Column] = (),
     cluster_by: Sequence[str] = (),
+    remember: Sequence[str] = (),
     rows_move: bool = True,
-) -> list:
-    """Insert new keys, replace known ones; returns the touched values of the first partition column.
-
-    ``preference`` orders the copies of one key, best first; by default incoming
-    rows replace stored ones. ``run_dir`` belongs to this one run and makes it
-    repeatable. With ``rows_move`` a row may come back under another partition
-    than it is stored in, which takes a look at the key column of the whole
-    table; say ``False`` where partitions follow from the key or never change.
+) -> None:
+    """Insert new keys, replace known ones.
+
+    ``preference`` orders the copies of one key, best first; without it incoming
+    rows replace stored ones, and ``batch_preference`` only settles which of
+    several copies in the batch counts. ``run_dir`` belongs to this one run and
+    makes it repeatable. With ``rows_move`` a row may come back under another
+    partition than it is stored in, which takes a look at the key column of the
+    whole table; say ``False`` where partitions follow from the key or never
+    change.
     """
-    lead = partition_by[0]
-    batch_path, merged_path, before_path = (f"{run_dir}/{n}" for n in ("incoming", "merged", "before"))
-
+    lead, batch_path = partition_by[0], f"{run_dir}/incoming"
     if not paths.finished(spark, batch_path):
-        order = list(preference) or [F.lit(0)]
-        first_per_key(incoming, keys, order).write.mode("overwrite").parquet(batch_path)
+        order = [*preference, *batch_preference]
+        single = first_per_key(incoming, keys, order) if order else incoming
+        single.write.mode("overwrite").parquet(batch_path)
     batch = spark.read.schema(incoming.schema).parquet(batch_path)
 
-    if not paths.finished(spark, merged_path):
-        if paths.exists(spark, target):
-            stored = spark.read.schema(incoming.schema).parquet(target)
-            touched = batch.select(lead)
-            if rows_move:
-                met = stored.join(batch.select(*keys), _same_key(stored, batch, keys), "left_semi")
-                touched = touched.union(met.select(lead))
-            values = touched_values(touched, lead)
-            old = stored.filter(_is_one_of(lead, values))
-            # Only rows whose key is in the batch compete; all others pass
-            # through without a shuffle while the batch is small.
-            rivals = old.join(batch, _same_key(old, batch, keys), "left_semi")
-            best = [*preference, F.col(_INCOMING).desc()]
-            contest = rivals.withColumn(_INCOMING, F.lit(0)).unionByName(batch.withColumn(_INCOMING, F.lit(1)))
-            winners = first_per_key(contest, keys, best).drop(_INCOMING)
-            merged = old.join(batch, _same_key(old, batch, keys), "left_anti").unionByName(winners)
-            folders = old.select(
-                *partition_by, F.regexp_extract("_metadata.file_path", "^(.*)/[^/]*$", 1).alias(_FOLDER)
-            ).distinct()
-            folders.write.mode("overwrite").parquet(before_path)
-        else:
-            merged = batch
-        # A plain column order: the partition columns stay inside the files here.
-        merged.select(*incoming.columns).write.mode("overwrite").parquet(merged_path)
-
-    merged = spark.read.schema(incoming.schema).parquet(merged_path)
-    writers.write_table(merged, target, partition_by, cluster_by, only_written_partitions=True)
-    values = touched_values(merged, lead)
-    if paths.finished(spark, before_path):
-        schema = T.StructType([incoming.schema[c] for c in partition_by]).add(_FOLDER, T.StringType())
-        before = spark.read.schema(schema).parquet(before_path)
-        values = list({*values, *touched_values(before, lead)})
-        kept = merged.select(*partition_by).distinct()
-        emptied = before.join(kept, _same_key(before, kept, partition_by), "left_anti")
-        for row in emptied.select(_FOLDER).distinct().collect():
-            paths.delete(spark, row[0])
-    return values
+    def touched(stored: DataFrame) -> list:
+        places = batch.select(lead)
+        if rows_move:
+            met = stored.join(batch.select(*keys), _same_key(stored, batch, keys), "left_semi")
+            places = places.union(met.select(lead))
+        return touched_values(places, lead)
+
+    def merge(old: DataFrame | None) -> DataFrame:
+        if old is None:
+            return batch
+        # Only rows whose key is in the batch compete; all others pass through
+        # without a shuffle while the batch is small.
+        rest = old.join(batch, _same_key(old, batch, keys), "left_anti")
+        if not preference:
+            return rest.unionByName(batch)
+        rivals = old.join(batch, _same_key(old, batch, keys), "left_semi")
+        contest = rivals.withColumn(_INCOMING, F.lit(0)).unionByName(batch.withColumn(_INCOMING, F.lit(1)))
+        best = [*preference, F.col(_INCOMING).desc()]
+        return rest.unionByName(first_per_key(contest, keys, best).drop(_INCOMING))
+
+    _rewrite_partitions(
+        spark, target, incoming.schema, partition_by, run_dir, touched, merge, cluster_by, remember
+    )
 
 
 def upsert_orders(
-    spark: SparkSession, fct_orders: DataFrame, target: str, run_dir: str, rows_move: bool = True
-) -> list:
+    spark: SparkSession,
+    fct_orders: DataFrame,
+    target: str,
+    run_dir: str,
+    rows_move: bool = True,
+    partition_by: Sequence[str] = writers.ORDER_PARTITIONS,
+) -> None:
     """Merge order facts on order id; of several versions in one batch the newest counts."""
-    newest = [F.col("created_at").desc_nulls_last(), F.col("status_raw").asc_nulls_first()]
-    if not paths.finished(spark, f"{run_dir}/incoming"):
-        first_per_key(fct_orders, ["order_id"], newest).write.mode("overwrite").parquet(f"{run_dir}/incoming")
-    return upsert(
-        spark, fct_orders, target, ["order_id"], ["order_date", "region"], run_dir,
-        cluster_by=["user_id", "product_id"], rows_move=rows_move,
+    upsert(
+        spark, fct_orders, target, ["order_id"], partition_by, run_dir,
+        batch_preference=[F.col("created_at").desc_nulls_last(), F.col("status_raw").asc_nulls_first()],
+        cluster_by=["user_id", "product_id"], remember=["order_date"], rows_move=rows_move,
     )
 
 
+def touched_days(spark: SparkSession, fct_schema: T.StructType, run_dir: str) -> list:
+    """Order days whose aggregates a finished ``upsert_orders`` run may have changed.
+
+    All days found in the rewritten partitions, before or after: a moved order
+    may have left one of them without orders.
+    """
+    merged = spark.read.schema(fct_schema).parquet(f"{run_dir}/merged")
+    days = set(touched_values(merged, "order_date"))
+    if paths.finished(spark, f"{run_dir}/before"):
+        columns = T.StructType([fct_schema["order_date"]])
+        days |= set(touched_values(spark.read.schema(columns).parquet(f"{run_dir}/before"), "order_date"))
+    return list(days)
+
+
 def upsert_events(
     spark: SparkSession, events: DataFrame, target: str, run_dir: str, keep: str = "latest",
     rows_move: bool = True,
-) -> list:
+) -> None:
     """Merge cleaned events on event id, keeping the latest copy wherever it was stored."""
     dated = events.withColumn("event_date", F.to_date("created_at"))
-    return upsert(
+    upsert(
         spark, dated, target, ["event_id"], ["event_date"], run_dir,
         preference=event_copy_order(keep), cluster_by=["event_type", "device_type"],
         rows_move=rows_move,
@@ -154,26 +199,27 @@ def upsert_events(
 
 
 def refresh_daily_revenue(
-    spark: SparkSession, fct_orders: DataFrame, target: str, order_dates: Sequence
+    spark: SparkSession, fct_orders: DataFrame, target: str, order_dates: Sequence, run_dir: str
 ) -> None:
     """Recompute the stored daily revenue of the given days; other days stay as they are.
 
-    The fact is read through a filter on its partition column. A day that has
-    no orders left loses its stored rows.
+    The fact is read through a filter on its day column, the stored table by
+    the months of those days. A day without orders loses its stored rows.
     """
     if not order_dates:
         return
-    days = fct_orders.filter(_is_one_of("order_date", order_dates))
-    daily = agg_daily_revenue(days)
-    if paths.exists(spark, target):
-        stored = spark.read.schema(daily.schema).parquet(target).filter(_is_one_of("order_date", order_dates))
-        folder = F.regexp_extract("_metadata.file_path", "^(.*)/[^/]*$", 1).alias(_FOLDER)
-        before = stored.select("order_date", folder).distinct()
-        present = days.select("order_date").distinct()
-        gone = before.join(present, _same_key(before, present, ["order_date"]), "left_anti")
-        emptied = [row[0] for row in gone.select(_FOLDER).distinct().collect()]
-    else:
-        emptied = []
-    writers.write_daily_revenue(daily, target, only_written_partitions=True)
-    for folder_path in emptied:
-        paths.delete(spark, folder_path)
+    daily = writers.with_revenue_month(
+        agg_daily_revenue(fct_orders.filter(_is_one_of("order_date", order_dates)))
+    )
+    months = list({day and day.replace(day=1) for day in order_dates})
+
+    def merge(old: DataFrame | None) -> DataFrame:
+        if old is None:
+            return daily
+        stale = F.coalesce(_is_one_of("order_date", order_dates), F.lit(False))
+        return old.filter(~stale).unionByName(daily)
+
+    _rewrite_partitions(
+        spark, target, daily.schema, ["revenue_month"], run_dir, lambda _: months, merge,
+        ["order_date", "region", "user_plan_type"],
+    )

@@ -19,6 +19,7 @@ from basketry.functions.money import from_minor_units, minor_units
 from basketry.operators.facts import STEP_TIMES, fct_orders, step_minima, with_step_outcomes, with_user
 from basketry.operators.staging import clean_events, stg_orders
 from basketry.schemas import ANALYTICS, FUNNEL_STEPS
+from basketry.sources.writers import ORDER_PARTITIONS
 from basketry.streaming import incremental
 
 LATE_BY = "1 hour"
@@ -52,15 +53,22 @@ def ingest_orders(
     daily_target: str | None = None,
     every: str | None = None,
     rows_move: bool = True,
+    partition_by: Sequence[str] = ORDER_PARTITIONS,
+    extend: Callable[[DataFrame], DataFrame] | None = None,
 ) -> StreamingQuery:
-    """Merge arriving orders into the stored fact, then refresh the days they touched."""
+    """Merge arriving orders into the stored fact, then refresh the days they touched.
+
+    ``extend`` may add columns to the stored fact, such as a coarser partition column.
+    """
     def handle(batch: DataFrame, run_dir: str) -> None:
         spark = batch.sparkSession
         facts = fct_orders(stg_orders(batch), stg_products, stg_users)
-        days = incremental.upsert_orders(spark, facts, target, run_dir, rows_move)
+        facts = extend(facts) if extend else facts
+        incremental.upsert_orders(spark, facts, target, run_dir, rows_move, partition_by)
         if daily_target:
             stored = spark.read.schema(facts.schema).parquet(target)
-            incremental.refresh_daily_revenue(spark, stored, daily_target, days)
+            days = incremental.touched_days(spark, facts.schema, run_dir)
+            incremental.refresh_daily_revenue(spark, stored, daily_target, days, f"{run_dir}/daily")
 
     return _each_batch(raw_orders, handle, checkpoint, every)
 
