@@ -53,5 +53,9 @@ def year_month(day: Column) -> Column:
     return F.date_format(day, "yyyy-MM")
 
 
+# Weekday names, Monday first.
+_WEEKDAYS = ("Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday")
+
+
 def weekday_name(moment: Column) -> Column:
-    return F.date_format(moment, "EEEE")
+    return F.get(F.array(*(F.lit(name) for name in _WEEKDAYS)), F.weekday(moment))

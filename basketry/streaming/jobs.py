@@ -12,14 +12,15 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from basketry.functions.money import from_minor_units, minor_units
 from basketry.operators.facts import STEP_TIMES, fct_orders, step_minima, with_step_outcomes, with_user
 from basketry.operators.staging import clean_events, stg_orders
 from basketry.schemas import ANALYTICS, FUNNEL_STEPS
-from basketry.sources.writers import ORDER_PARTITIONS
+from basketry.sources import paths
+from basketry.sources.writers import ORDER_PARTITIONS, with_revenue_month
 from basketry.streaming import incremental
 
 LATE_BY = "1 hour"
@@ -31,14 +32,29 @@ def _triggered(writer: DataStreamWriter, every: str | None) -> DataStreamWriter:
 
 def _each_batch(
     stream: DataFrame,
-    handle: Callable[[DataFrame, str], None],
+    handle: Callable[[SparkSession, DataFrame, str], None],
     checkpoint: str,
     every: str | None,
     mode: str = "append",
 ) -> StreamingQuery:
+    """Land each batch as files, then handle it as an ordinary table.
+
+    Streams run without adaptive execution. Landing evaluates the batch exactly
+    once and lets the merge run in the caller's session, where skewed joins and
+    partitions are split at run time.
+    """
+    spark = stream.sparkSession
+
     def run(batch: DataFrame, batch_id: int) -> None:
-        if not batch.isEmpty():
-            handle(batch, f"{checkpoint}/runs/{batch_id}")
+        run_dir = f"{checkpoint}/runs/{batch_id}"
+        landed = f"{run_dir}/batch"
+        if not paths.finished(spark, landed):
+            batch.write.mode("overwrite").parquet(landed)
+        rows = spark.read.schema(batch.schema).parquet(landed)
+        if not rows.isEmpty():
+            handle(spark, rows, run_dir)
+        # The previous batch is committed once this one runs.
+        paths.delete(spark, f"{checkpoint}/runs/{batch_id - 1}")
 
     writer = stream.writeStream.outputMode(mode).option("checkpointLocation", f"{checkpoint}/state")
     return _triggered(writer.foreachBatch(run), every).start()
@@ -60,8 +76,7 @@ def ingest_orders(
 
     ``extend`` may add columns to the stored fact, such as a coarser partition column.
     """
-    def handle(batch: DataFrame, run_dir: str) -> None:
-        spark = batch.sparkSession
+    def handle(spark: SparkSession, batch: DataFrame, run_dir: str) -> None:
         facts = fct_orders(stg_orders(batch), stg_products, stg_users)
         facts = extend(facts) if extend else facts
         incremental.upsert_orders(spark, facts, target, run_dir, rows_move, partition_by)
@@ -82,8 +97,8 @@ def ingest_events(
     rows_move: bool = True,
 ) -> StreamingQuery:
     """Merge arriving events into the stored staging table, one row per event id."""
-    def handle(batch: DataFrame, run_dir: str) -> None:
-        incremental.upsert_events(batch.sparkSession, clean_events(batch), target, run_dir, keep, rows_move)
+    def handle(spark: SparkSession, batch: DataFrame, run_dir: str) -> None:
+        incremental.upsert_events(spark, clean_events(batch), target, run_dir, keep, rows_move)
 
     return _each_batch(raw_events, handle, checkpoint, every)
 
@@ -135,10 +150,10 @@ def publish_daily_revenue(
     every: str | None = None,
 ) -> StreamingQuery:
     """Keep a stored daily revenue table up to date from the order stream."""
-    def handle(batch: DataFrame, run_dir: str) -> None:
+    def handle(spark: SparkSession, batch: DataFrame, run_dir: str) -> None:
         incremental.upsert(
-            batch.sparkSession, batch, target, ["order_date", "region", "user_plan_type"], ["order_date"],
-            run_dir, rows_move=False,
+            spark, with_revenue_month(batch), target, ["order_date", "region", "user_plan_type"],
+            ["revenue_month"], run_dir, rows_move=False,
         )
 
     changes = live_daily_revenue(raw_orders, stg_users, late_by)
@@ -169,10 +184,10 @@ def publish_funnel(
     every: str | None = None,
 ) -> StreamingQuery:
     """Keep a stored funnel up to date; its partitions are hash buckets of the user."""
-    def handle(batch: DataFrame, run_dir: str) -> None:
+    def handle(spark: SparkSession, batch: DataFrame, run_dir: str) -> None:
         bucket = F.pmod(F.xxhash64("user_id"), F.lit(buckets)).cast("int")
         incremental.upsert(
-            batch.sparkSession, batch.withColumn("user_bucket", bucket), target, ["user_id"],
+            spark, batch.withColumn("user_bucket", bucket), target, ["user_id"],
             ["user_bucket"], run_dir, rows_move=False,
         )
 
