@@ -1,0 +1,66 @@
+import pytest
+from pyspark.sql import functions as F
+
+from basketry.operators import quality
+from basketry.schemas import RAW
+from tests.conftest import event, order, product, rows, ts, user
+
+
+@pytest.fixture()
+def tables(make):
+    return {
+        "orders": make.orders([
+            order("o1"), order("o1"), order("o1"), order(None), order("o2", product_id="lost", region="XX"),
+            order("o3", user_id="ghost", status="odd"), order("o4", user_id="ghost", product_id=None),
+        ]),
+        "users": make.users([user("u1"), user("u2", "Gold"), user("u2")]),
+        "products": make.products([product("p1")]),
+        "events": make.events([event("e1"), event("e2", event_type="ProductView", device_type=None)]),
+    }
+
+
+def test_null_keys(tables):
+    assert rows(quality.null_keys(tables)) == [("events", 0), ("orders", 1), ("products", 0), ("users", 0)]
+
+
+def test_duplicates(tables):
+    assert rows(quality.duplicate_keys(tables["orders"], "order_id")) == [("o1", 3)]
+    assert rows(quality.duplicate_summary(tables)) == [
+        ("events", 0, 0), ("orders", 1, 2), ("products", 0, 0), ("users", 1, 1),
+    ]
+
+
+def test_orphans(tables):
+    assert rows(quality.orphans(tables["orders"], "user_id", tables["users"], "user_id")) == [("ghost", 2)]
+    assert rows(quality.orphan_summary(tables)) == [
+        ("events.product_id", 0, 0), ("events.user_id", 0, 0), ("orders.product_id", 1, 1), ("orders.user_id", 1, 2),
+    ]
+
+
+def test_domains_accept_any_case(tables):
+    assert rows(quality.domain_violations(tables)) == [
+        ("orders.region", "XX", 1), ("orders.status", "odd", 1), ("users.plan_type", "Gold", 1),
+    ]
+
+
+def test_readable(tables, make):
+    assert rows(quality.readable({**tables, "events": make.events([])})) == [
+        ("events", False), ("orders", True), ("products", True), ("users", True),
+    ]
+
+
+def test_freshness(make):
+    orders = make.orders([order("a", created_at=ts("2024-06-01 10:00:00")), order("b", created_at=ts("2024-06-01 11:00:00"))])
+    at = lambda text: F.lit(ts(text))
+    assert rows(quality.freshness(orders, at("2024-06-01 12:00:00"))) == [(ts("2024-06-01 11:00:00"), 3600, True)]
+    assert rows(quality.freshness(orders, at("2024-06-01 12:00:01")), "within_sla") == [(False,)]
+    assert rows(quality.freshness(orders.limit(0), at("2024-06-01 12:00:00"))) == [(None, None, False)]
+
+
+def test_guards(tables):
+    with pytest.raises(ValueError, match="email"):
+        quality.assert_no_pii(tables["users"])
+    with pytest.raises(ValueError):
+        quality.assert_schema(tables["users"].drop("name"), RAW["users"])
+    with pytest.raises(ValueError, match="order"):
+        quality.assert_schema(tables["users"].select(*reversed(tables["users"].columns)), RAW["users"])
