@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from basketry.functions.dates import month_boundaries, second_boundaries, weekday_name
 from basketry.functions.labels import STATUS_LABELS, label
 from basketry.functions.money import round_half_away
+from basketry.operators.joins import enrich
 from basketry.schemas import FUNNEL_STEPS
 
 _PRODUCT_ATTRIBUTES = {
@@ -30,14 +31,15 @@ def _renamed(dimension: DataFrame, key: str, names: Mapping[str, str]) -> DataFr
     return dimension.select(key, *(F.col(old).alias(new) for old, new in names.items()))
 
 
-def with_product(facts: DataFrame, stg_products: DataFrame) -> DataFrame:
-    """Facts with product attributes; rows without a matching product stay."""
-    return facts.join(_renamed(stg_products, "product_id", _PRODUCT_ATTRIBUTES), "product_id", "left")
+def with_product(orders: DataFrame, stg_products: DataFrame, salts: int = 1) -> DataFrame:
+    """Orders with product attributes; those without a matching product stay."""
+    products = _renamed(stg_products, "product_id", _PRODUCT_ATTRIBUTES)
+    return enrich(orders, products, "product_id", salts, "order_id")
 
 
-def with_user(facts: DataFrame, stg_users: DataFrame) -> DataFrame:
-    """Facts with user attributes; rows without a matching user stay."""
-    return facts.join(_renamed(stg_users, "user_id", _USER_ATTRIBUTES), "user_id", "left")
+def with_user(orders: DataFrame, stg_users: DataFrame, salts: int = 1) -> DataFrame:
+    """Orders with user attributes; those without a matching user stay."""
+    return enrich(orders, _renamed(stg_users, "user_id", _USER_ATTRIBUTES), "user_id", salts, "order_id")
 
 
 def fct_orders(

@@ -50,12 +50,13 @@ def orphans(child: DataFrame, column: str, parent: DataFrame, parent_key: str) -
     """Foreign-key values without a parent, with their number of rows; nulls refer to nothing.
 
     The child is counted per value first, so the join is not skewed by a
-    frequent value.
+    frequent value. It is an outer join with a test for no match because Spark
+    would run an anti join before the counting, on all rows.
     """
     used = child.filter(F.col(column).isNotNull()).groupBy(F.col(column).alias("key"))
     used = used.agg(F.count(F.lit(1)).alias("rows"))
-    known = parent.select(F.col(parent_key).alias("key"))
-    return used.join(known, "key", "left_anti")
+    known = parent.select(F.col(parent_key).alias("key"), F.lit(True).alias("known"))
+    return used.join(known, "key", "left").filter(F.col("known").isNull()).drop("known")
 
 
 def orphan_summary(

@@ -17,6 +17,10 @@ CLUSTER_CONF = {
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Shuffles start fine-grained and are merged to the advisory size; streams,
+    # which run without that, use the plain number.
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "8192",
+    "spark.sql.shuffle.partitions": "2048",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
@@ -41,9 +45,11 @@ def cluster_session(app_name: str = "basketry", **extra: str) -> SparkSession:
 
 def local_session(app_name: str = "basketry", cpus: int | str = 8, **extra: str) -> SparkSession:
     """Single-JVM session for tests and benchmarks."""
+    partitions = str(cpus) if str(cpus).isdigit() else "8"
     conf = {
         **CLUSTER_CONF,
-        "spark.sql.shuffle.partitions": str(cpus) if str(cpus).isdigit() else "8",
+        "spark.sql.shuffle.partitions": partitions,
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": partitions,
         "spark.driver.memory": "8g",
         "spark.ui.enabled": "false",
         "spark.driver.host": "localhost",

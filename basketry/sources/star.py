@@ -50,8 +50,8 @@ def _load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 def _stream(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     pin_utc(spark)
-    reader = spark.readStream.schema(_schema(table)).option("pathGlobFilter", f"{table}.parquet")
-    return reader.parquet(sf_dir)
+    # As a pattern, the table may be one file or a folder of files.
+    return spark.readStream.schema(_schema(table)).parquet(f"{sf_dir.rstrip('/')}/{{{table}.parquet}}")
 
 
 def _mapped(value: Column, mapping: dict[str, str]) -> Column:

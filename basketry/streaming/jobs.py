@@ -103,17 +103,30 @@ def ingest_events(
     return _each_batch(raw_events, handle, checkpoint, every)
 
 
-def first_arrivals(raw_events: DataFrame, late_by: str = LATE_BY) -> DataFrame:
+# Tasks a frequent key is spread over where a stream cannot split it at run time.
+SPREAD = 16
+
+
+def first_arrivals(raw_events: DataFrame, late_by: str = LATE_BY, spread: int = SPREAD) -> DataFrame:
     """Cleaned event stream, copies that arrive within ``late_by`` dropped.
 
     Keeps the first arrival, with state only for the last ``late_by``; use
     ``ingest_events`` where the latest copy must win. Events without a readable
     time carry no event time and pass the watermark untouched.
+
+    Copies are dropped in two steps, first among the tasks of equal number
+    modulo ``spread``, so that no task receives all copies of one event.
     """
-    return clean_events(raw_events).withWatermark("created_at", late_by).dropDuplicatesWithinWatermark(["event_id"])
+    timed = clean_events(raw_events).withWatermark("created_at", late_by)
+    if spread > 1:
+        group = F.pmod(F.spark_partition_id(), F.lit(spread))
+        timed = timed.withColumn("_group", group).dropDuplicatesWithinWatermark(["event_id", "_group"]).drop("_group")
+    return timed.dropDuplicatesWithinWatermark(["event_id"])
 
 
-def live_daily_revenue(raw_orders: DataFrame, stg_users: DataFrame, late_by: str = LATE_BY) -> DataFrame:
+def live_daily_revenue(
+    raw_orders: DataFrame, stg_users: DataFrame, late_by: str = LATE_BY, spread: int = SPREAD
+) -> DataFrame:
     """Daily revenue as a running aggregation, for update mode.
 
     Orders later than the watermark are left to the next partition refresh.
@@ -121,7 +134,7 @@ def live_daily_revenue(raw_orders: DataFrame, stg_users: DataFrame, late_by: str
     orders = stg_orders(raw_orders).withWatermark("created_at", late_by)
     net = F.col("quantity") * F.col("unit_price") - F.col("discount_amount")
     gross = F.col("quantity") * F.col("unit_price")
-    sums = with_user(orders, stg_users).groupBy(
+    sums = with_user(orders, stg_users, spread).groupBy(
         F.window("created_at", "1 day").alias("day"), "region", "user_plan_type"
     ).agg(
         F.count("order_id").alias("order_count"),
