@@ -15,7 +15,7 @@ AS_OF = dt.date(2024, 6, 30)
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session("tests", 4, **{"spark.sql.shuffle.partitions": "4"})
+    session = local_session("tests", 4)
     yield session
     session.stop()
 
