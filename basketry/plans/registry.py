@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -55,48 +56,48 @@ class Tables:
     def folder(self, name: str) -> str:
         return work_dir(self.spark, name)
 
-    @property
+    @cached_property
     def orders(self) -> DataFrame:
         return staging.stg_orders(star.raw_orders(self.spark, self.sf_dir))
 
-    @property
+    @cached_property
     def users(self) -> DataFrame:
         return staging.stg_users(star.raw_users(self.spark, self.sf_dir))
 
-    @property
+    @cached_property
     def products(self) -> DataFrame:
         return staging.stg_products(star.raw_products(self.spark, self.sf_dir))
 
-    @property
+    @cached_property
     def raw_events(self) -> DataFrame:
         return star.raw_events(self.spark, self.sf_dir)
 
-    @property
+    @cached_property
     def funnel_events(self) -> DataFrame:
         return staging.stg_events(self.raw_events, columns=staging.FUNNEL_EVENT_COLUMNS)
 
-    @property
+    @cached_property
     def order_fact(self) -> DataFrame:
         """Without dimensions."""
         return facts.fct_orders(self.orders)
 
-    @property
+    @cached_property
     def full_fact(self) -> DataFrame:
         return facts.fct_orders(self.orders, self.products, self.users)
 
-    @property
+    @cached_property
     def daily_revenue(self) -> DataFrame:
         return aggregates.agg_daily_revenue(facts.fct_orders(self.orders, stg_users=self.users))
 
-    @property
+    @cached_property
     def product_performance(self) -> DataFrame:
         return aggregates.agg_product_performance(self.order_fact, AS_OF, self.products)
 
-    @property
+    @cached_property
     def user_dimension(self) -> DataFrame:
         return dimensions.dim_users(self.users, AS_OF)
 
-    @property
+    @cached_property
     def raw(self) -> dict[str, DataFrame]:
         return star.raw_tables(self.spark, self.sf_dir)
 

@@ -2,61 +2,50 @@
 
 The sample tables are a wholesale star schema (orders, lineitem, customer,
 part, nation) and an event log; see README for the mapping. Each loader reads
-only the files and columns its table needs.
+only the files and columns its table needs. The mapping itself is plain SQL
+expressions.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from basketry.schemas import RAW
 from basketry.session import pin_utc
 
-_LONG, _INT, _DOUBLE, _STRING, _TS = (
-    T.LongType(), T.IntegerType(), T.DoubleType(), T.StringType(), T.TimestampType(),
-)
 _SCHEMAS = {
-    "orders": {"o_orderkey": _LONG, "o_custkey": _LONG, "o_orderstatus": _STRING,
-               "o_orderdate": _TS, "o_orderpriority": _STRING},
-    "lineitem": {"l_orderkey": _LONG, "l_partkey": _LONG, "l_quantity": _DOUBLE,
-                 "l_extendedprice": _DOUBLE, "l_discount": _DOUBLE},
-    "customer": {"c_custkey": _LONG, "c_name": _STRING, "c_nationkey": _INT,
-                 "c_acctbal": _DOUBLE, "c_mktsegment": _STRING},
-    "nation": {"n_nationkey": _INT, "n_name": _STRING},
-    "part": {"p_partkey": _LONG, "p_name": _STRING, "p_brand": _STRING, "p_type": _STRING,
-             "p_size": _INT, "p_retailprice": _DOUBLE},
-    "events": {"event_id": _LONG, "ts": _TS, "user_id": _LONG, "event_type": _STRING,
-               "props": _STRING},
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_orderdate TIMESTAMP, o_orderpriority STRING",
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_quantity DOUBLE, l_extendedprice DOUBLE, l_discount DOUBLE",
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING",
+    "nation": "n_nationkey INT, n_name STRING",
+    "part": "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT, p_retailprice DOUBLE",
+    "events": "event_id BIGINT, ts TIMESTAMP, user_id BIGINT, event_type STRING, props STRING",
 }
 
 # Fixed values of the mapping.
-_REGIONS = {"1-URGENT": "NA", "2-HIGH": "EU", "3-MEDIUM": "APAC", "4-NOT SPECIFIED": "LATAM", "5-LOW": "MEA"}
-_PLANS = {"BUILDING": "Enterprise", "MACHINERY": "PRO", "AUTOMOBILE": "starter", "HOUSEHOLD": "free",
-          "FURNITURE": "trial"}
-_EVENT_TYPES = {"view": "ProductView", "click": "AddToCart", "signup": "CheckoutStart",
-                "purchase": "Purchase", "error": "Search"}
-_DEVICES = ("mobile", "tablet", "desktop")
-_COST_SHARES = tuple(round(0.30 + 0.07 * i, 2) for i in range(10))
-
-
-def _schema(table: str) -> T.StructType:
-    return T.StructType([T.StructField(n, t) for n, t in _SCHEMAS[table].items()])
+_STATUS = """CASE WHEN o_orderkey % 20 = 0 THEN 'cancelled' WHEN o_orderkey % 20 = 1 THEN 'refunded'
+    WHEN o_orderstatus = 'F' THEN 'delivered' WHEN o_orderstatus = 'P' THEN 'shipped'
+    WHEN o_orderkey % 2 = 0 THEN 'confirmed' ELSE 'pending' END"""
+_REGION = """CASE o_orderpriority WHEN '1-URGENT' THEN 'NA' WHEN '2-HIGH' THEN 'EU' WHEN '3-MEDIUM' THEN 'APAC'
+    WHEN '4-NOT SPECIFIED' THEN 'LATAM' WHEN '5-LOW' THEN 'MEA' END"""
+_PLAN = """CASE c_mktsegment WHEN 'BUILDING' THEN 'Enterprise' WHEN 'MACHINERY' THEN 'PRO'
+    WHEN 'AUTOMOBILE' THEN 'starter' WHEN 'HOUSEHOLD' THEN 'free' WHEN 'FURNITURE' THEN 'trial' END"""
+_SIGNUP = "date_add(DATE '1995-01-01', int(c_custkey * 37 % 1800))"
+_COST_SHARE = "get(array(0.30D, 0.37D, 0.44D, 0.51D, 0.58D, 0.65D, 0.72D, 0.79D, 0.86D, 0.93D), p_size % 10)"
+_EVENT_TYPE = """CASE event_type WHEN 'view' THEN 'ProductView' WHEN 'click' THEN 'AddToCart'
+    WHEN 'signup' THEN 'CheckoutStart' WHEN 'purchase' THEN 'Purchase' WHEN 'error' THEN 'Search' END"""
+_DEVICE = "get(array('mobile', 'tablet', 'desktop'), number % 3)"
 
 
 def _load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     pin_utc(spark)
-    return spark.read.schema(_schema(table)).parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
+    return spark.read.schema(_SCHEMAS[table]).parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
 
 
 def _stream(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     pin_utc(spark)
     # As a pattern, the table may be one file or a folder of files.
-    return spark.readStream.schema(_schema(table)).parquet(f"{sf_dir.rstrip('/')}/{{{table}.parquet}}")
-
-
-def _mapped(value: Column, mapping: dict[str, str]) -> Column:
-    pairs = [F.lit(part) for pair in mapping.items() for part in pair]
-    return F.try_element_at(F.create_map(*pairs), value)
+    return spark.readStream.schema(_SCHEMAS[table]).parquet(f"{sf_dir.rstrip('/')}/{{{table}.parquet}}")
 
 
 def _orders(spark: SparkSession, orders: DataFrame, sf_dir: str) -> DataFrame:
@@ -69,25 +58,16 @@ def _orders(spark: SparkSession, orders: DataFrame, sf_dir: str) -> DataFrame:
         F.min("l_extendedprice").alias("price"),
         F.max("l_discount").alias("discount"),
     )
-    key, state = F.col("o_orderkey"), F.col("o_orderstatus")
-    status = (
-        F.when(key % 20 == 0, "cancelled")
-        .when(key % 20 == 1, "refunded")
-        .when(state == "F", "delivered")
-        .when(state == "P", "shipped")
-        .when(key % 2 == 0, "confirmed")
-        .otherwise("pending")
-    )
-    return orders.join(lines, key == F.col("l_orderkey"), "left").select(
-        key.cast("string").alias("order_id"),
-        F.col("o_custkey").cast("string").alias("user_id"),
-        F.col("part").cast("string").alias("product_id"),
-        status.alias("status"),
-        F.col("units").cast("int").alias("quantity"),
-        F.col("price").alias("unit_price"),
-        F.rint(F.col("discount") * 100).alias("discount_amount"),
-        F.col("o_orderdate").alias("created_at"),
-        _mapped(F.col("o_orderpriority"), _REGIONS).alias("region"),
+    return orders.join(lines, F.expr("o_orderkey = l_orderkey"), "left").selectExpr(
+        "string(o_orderkey) AS order_id",
+        "string(o_custkey) AS user_id",
+        "string(part) AS product_id",
+        f"{_STATUS} AS status",
+        "int(units) AS quantity",
+        "price AS unit_price",
+        "rint(discount * 100) AS discount_amount",
+        "o_orderdate AS created_at",
+        f"{_REGION} AS region",
     )
 
 
@@ -104,50 +84,49 @@ def raw_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = _load(spark, sf_dir, "customer")
     # Provably unique keys: without use of the country the join is dropped.
     nation = _load(spark, sf_dir, "nation").dropDuplicates(["n_nationkey"])
-    signup = F.date_add(F.lit("1995-01-01").cast("date"), (F.col("c_custkey") * 37 % 1800).cast("int"))
-    return customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left").select(
-        F.col("c_custkey").cast("string").alias("user_id"),
-        F.concat(F.lower("c_name"), F.lit("@example.com")).alias("email"),
-        F.col("c_name").alias("name"),
-        _mapped(F.col("c_mktsegment"), _PLANS).alias("plan_type"),
-        signup.alias("signup_date"),
-        F.col("n_name").alias("country"),
-        signup.cast("timestamp").alias("created_at"),
-        (F.col("c_acctbal") >= 0).cast("string").alias("is_active"),
+    return customer.join(nation, F.expr("c_nationkey = n_nationkey"), "left").selectExpr(
+        "string(c_custkey) AS user_id",
+        "lower(c_name) || '@example.com' AS email",
+        "c_name AS name",
+        f"{_PLAN} AS plan_type",
+        f"{_SIGNUP} AS signup_date",
+        "n_name AS country",
+        f"timestamp({_SIGNUP}) AS created_at",
+        "string(c_acctbal >= 0) AS is_active",
     )
 
 
 def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    shares = F.array(*(F.lit(share) for share in _COST_SHARES))
-    return _load(spark, sf_dir, "part").select(
-        F.col("p_partkey").cast("string").alias("product_id"),
-        F.col("p_name").alias("name"),
-        F.col("p_type").alias("category"),
-        F.col("p_brand").alias("subcategory"),
-        F.col("p_retailprice").alias("base_price"),
-        (F.col("p_retailprice") * F.get(shares, F.col("p_size") % 10)).alias("cost_price"),
-        F.lit("1995-01-01 00:00:00").cast("timestamp").alias("created_at"),
-        F.lit("True").alias("is_active"),
+    return _load(spark, sf_dir, "part").selectExpr(
+        "string(p_partkey) AS product_id",
+        "p_name AS name",
+        "p_type AS category",
+        "p_brand AS subcategory",
+        "p_retailprice AS base_price",
+        f"p_retailprice * {_COST_SHARE} AS cost_price",
+        "TIMESTAMP '1995-01-01 00:00:00' AS created_at",
+        "'True' AS is_active",
     )
 
 
 def _events(events: DataFrame) -> DataFrame:
     # At-least-once delivery: purchases arrive a second time, one second later.
-    delays = F.when(F.col("event_type") == "purchase", F.array(F.lit(0), F.lit(1)))
-    delivered = events.withColumn("delay", F.explode(F.coalesce(delays, F.array(F.lit(0)))))
-    at = F.col("ts") + F.make_dt_interval(secs=F.col("delay"))
-    number = F.get_json_object("props", "$.k").cast("int")
-    visitor = F.concat_ws("-", F.col("user_id").cast("string"), F.date_format("ts", "yyyyMMdd"))
-    return delivered.select(
-        F.col("event_id").cast("string"),
-        visitor.alias("user_id"),
-        visitor.alias("session_id"),
-        _mapped(F.col("event_type"), _EVENT_TYPES).alias("event_type"),
-        number.cast("string").alias("product_id"),
-        F.concat(F.lit("/"), "event_type").alias("page"),
-        F.lit(None).cast("string").alias("referrer"),
-        F.get(F.array(*(F.lit(d) for d in _DEVICES)), number % 3).alias("device_type"),
-        F.date_format(at, "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("created_at"),
+    delivered = events.selectExpr(
+        "*",
+        "explode(CASE WHEN event_type = 'purchase' THEN array(0, 1) ELSE array(0) END) AS delay",
+        "int(get_json_object(props, '$.k')) AS number",
+        "string(user_id) || '-' || date_format(ts, 'yyyyMMdd') AS visitor",
+    )
+    return delivered.selectExpr(
+        "string(event_id) AS event_id",
+        "visitor AS user_id",
+        "visitor AS session_id",
+        f"{_EVENT_TYPE} AS event_type",
+        "string(number) AS product_id",
+        "'/' || event_type AS page",
+        "string(NULL) AS referrer",
+        f"{_DEVICE} AS device_type",
+        "date_format(ts + make_dt_interval(0, 0, 0, delay), 'yyyy-MM-dd HH:mm:ss.SSSSSS') AS created_at",
     )
 
 
