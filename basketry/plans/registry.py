@@ -294,6 +294,11 @@ def _(t):
     return ranking.latest_orders(t.order_fact)
 
 
+@query("preview_orders")
+def _(t):
+    return ranking.preview(t.orders)
+
+
 @query("newest_users")
 def _(t):
     return ranking.newest_users(t.user_dimension)
@@ -343,6 +348,11 @@ def _(t):
     return panels.revenue_by_region(chosen)
 
 
+@query("panel_mom_growth_filtered")
+def _(t):
+    return reports.mom_revenue_growth(panels.dashboard_filter(t.order_fact, regions=["NA", "EU"]), AS_OF)
+
+
 @query("panel_top_products")
 def _(t):
     return panels.top_products(t.product_performance)
