@@ -15,11 +15,16 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hadoop_path)
 
 
-def delete(spark: SparkSession, path: str) -> None:
+def delete(spark: SparkSession, path) -> None:
     fs, hadoop_path = _resolve(spark, path)
     fs.delete(hadoop_path, True)
 
 
+def delete_folder_of_rows(spark: SparkSession, uri: str) -> None:
+    """Delete a folder named as ``_metadata.file_path`` names it, URL-encoded."""
+    delete(spark, spark._jvm.java.net.URI(uri))
+
+
 def finished(spark: SparkSession, path: str) -> bool:
     """Whether a write to ``path`` ran to its end."""
     return exists(spark, f"{path}/_SUCCESS")

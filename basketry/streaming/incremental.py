@@ -97,7 +97,7 @@ def _rewrite_partitions(
         kept = merged.select(*partition_by).distinct()
         emptied = before.join(kept, _same_key(before, kept, partition_by), "left_anti")
         for folder in touched_values(emptied, _FOLDER):
-            paths.delete(spark, folder)
+            paths.delete_folder_of_rows(spark, folder)
 
 
 def upsert(

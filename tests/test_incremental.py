@@ -55,6 +55,13 @@ def test_emptied_partitions_disappear(load):
     assert kept == {"2024-06-01/region=EU", "2024-06-02/region=EU", "2024-06-03/region=NA", "2024-06-05/region=EU"}
 
 
+def test_emptied_partitions_with_special_characters_disappear(load):
+    odd = ["A B", "50%", "x:y", "ü/é", None]
+    load([order(f"o{i}", region=r) for i, r in enumerate(odd)], 1)
+    stored = load([order(f"o{i}", region="EU") for i in range(len(odd))], 2)
+    assert rows(stored, "order_id", "region") == [(f"o{i}", "EU") for i in range(len(odd))]
+
+
 def test_untouched_partitions_keep_their_files(load):
     load(FIRST, 1)
     before = glob.glob(f"{load.path}/order_date=2024-06-01/*/*.parquet")
