@@ -60,8 +60,8 @@ FROM ranked
 """,
     "op7_top_k_search": """
 WITH vector AS (
-    SELECT vec_id, list_transform(embedding, x -> floor(64 * x::DOUBLE)) AS v FROM embeddings
-    WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+    SELECT vec_id, [floor(64 * x::DOUBLE) FOR x IN embedding] AS v FROM embeddings
+    WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
 ), scored AS (
     SELECT q.vec_id AS query_id, e.vec_id, list_inner_product(q.v, e.v)::BIGINT AS score
     FROM vector q JOIN vector e ON q.vec_id <> e.vec_id WHERE q.vec_id % 20 = 0
@@ -76,8 +76,8 @@ WITH part AS (
 ), plain AS (
     SELECT page_id, url, regexp_replace(regexp_replace(body, '</?b>', '', 'g'), '<[^>]*>', ' ', 'g') AS body FROM part
 ), decoded AS (
-    SELECT page_id, url, trim(regexp_replace(replace(replace(replace(replace(replace(body,
-        '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', chr(39)), '&amp;', '&'), '\\s+', ' ', 'g')) AS text FROM plain
+    SELECT page_id, url, trim(regexp_replace(regexp_replace(replace(regexp_replace(regexp_replace(regexp_replace(body,
+        '&lt;?', '<', 'g'), '&gt;?', '>', 'g'), '&quot;?', '"', 'g'), '&#39;', chr(39)), '&amp;?', '&', 'g'), '\\s+', ' ', 'g')) AS text FROM plain
 )
 SELECT page_id, url, text, length(text) AS n_chars FROM decoded
 """,
