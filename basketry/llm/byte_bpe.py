@@ -8,7 +8,7 @@ into two entries, which is how the public encoder finds pairs. Decoding joins th
 concatenates the bytes by position.
 
 A round handles one pair of a word, so the rows of one word grow with the square of its length. Words over
-``LONG`` bytes, such as pages of one letter, therefore take the same leftmost-lowest-rank steps on a heap.
+``LONG`` bytes, up to pages of one letter, therefore take the same leftmost-lowest-rank steps on a heap.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ import base64
 import functools
 import heapq
 from collections.abc import Iterator
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -28,9 +29,9 @@ from pyspark.sql import types as T
 from basketry.llm.common import text_slices, without
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
-LONG = 96
-CACHE = 400_000
-WORDS_PER_QUERY = 50_000
+LONG = 24
+CACHE = 500_000
+WORDS_PER_QUERY = 100_000
 
 ENCODE = """
 WITH RECURSIVE step(word, place, token, round) AS (
@@ -56,10 +57,18 @@ SELECT word, list(token ORDER BY place) AS ids FROM step JOIN ended USING (word,
 """
 
 DECODE = """
-SELECT string_agg(hex, '' ORDER BY place) AS hex FROM tokens JOIN vocabulary USING (id) GROUP BY text ORDER BY text
+SELECT string_agg(hex, '' ORDER BY place) AS hex, count(*) AS n FROM tokens JOIN vocabulary USING (id) GROUP BY text ORDER BY text
 """
 
 
+class Codes(dict):
+    """Numbers words in the order of their first use."""
+
+    def __missing__(self, word: str) -> int:
+        self[word] = code = len(self)
+        return code
+
+
 class Coder:
     def __init__(self, path: str):
         import duckdb
@@ -68,45 +77,70 @@ class Coder:
         with open(path, "rb") as lines:
             self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         self.split = regex.compile(public_tokenizers.PATTERN).findall
-        self.ids: dict[str, list[int]] = {}
+        self._forget()
         merges = [
             (self.ranks[v[:i]], self.ranks[v[i:]], r)
             for v, r in self.ranks.items() for i in range(1, len(v)) if v[:i] in self.ranks and v[i:] in self.ranks
         ]
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "600MB"})
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB"})
         first, second, rank = (pa.array(c, pa.int32()) for c in zip(*merges))
         self._load("merges", pa.table({"first": first, "second": second, "rank": rank}))
         self._load("vocabulary", pa.table({
             "id": pa.array(self.ranks.values(), pa.int32()), "hex": [v.hex() for v in self.ranks],
         }))
 
+    def _forget(self) -> None:
+        self.codes = Codes()
+        self.pool, self.starts, self.sizes = np.empty(0, np.int32), np.empty(0, np.int64), np.empty(0, np.int64)
+
     def _load(self, name: str, rows: pa.Table) -> None:
         self.db.register("incoming", rows)
         self.db.execute(f"CREATE OR REPLACE TABLE {name} AS SELECT * FROM incoming")
         self.db.unregister("incoming")
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        """Ids of each text."""
-        split = [self.split(t) for t in texts]
-        if len(self.ids) > CACHE:
-            self.ids.clear()
-        fresh = [w for w in dict.fromkeys(w for words in split for w in words) if w not in self.ids]
-        merge, once = [], {}
-        for word in fresh:
-            data = word.encode()
-            if data in self.ranks:
-                self.ids[word] = [self.ranks[data]]
-            elif len(data) > LONG:
-                once[word] = self.contract(data)
-            else:
-                merge.append((word, data))
-        for start in range(0, len(merge), WORDS_PER_QUERY):
-            part = merge[start:start + WORDS_PER_QUERY]
-            self.ids.update(zip((word for word, _ in part), self._merge([data for _, data in part])))
-        known = {**once} if once else {}
-        return [[i for w in words for i in (known.get(w) or self.ids[w])] for words in split]
-
-    def _merge(self, words: list[bytes]) -> list[list[int]]:
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts one after the other, and how many each text has."""
+        if len(self.codes) > CACHE:
+            self._forget()
+        words, counts = [], []
+        for start, stop in text_slices(texts):
+            split = [self.split(t) if t else [] for t in texts.slice(start, stop - start).to_pylist()]
+            counts += [len(w) for w in split]
+            words.append(np.fromiter(map(self.codes.__getitem__, chain.from_iterable(split)), np.int32, sum(counts[start:])))
+        self._learn(list(islice(self.codes, len(self.sizes), None)))
+        codes = np.concatenate(words) if words else np.empty(0, np.int32)
+        sizes = self.sizes[codes]
+        ends = np.cumsum(sizes)
+        total = int(ends[-1]) if len(ends) else 0
+        flat = self.pool[np.arange(total) + np.repeat(self.starts[codes] - (ends - sizes), sizes)]
+        bounds = np.concatenate(([0], ends))[np.concatenate(([0], np.cumsum(np.array(counts, np.int64))))]
+        return flat, np.diff(bounds)
+
+    def _learn(self, fresh: list[str]) -> None:
+        """Encode words that no earlier text had."""
+        data = [word.encode() for word in fresh]
+        known = [self.ranks.get(d) for d in data]
+        long = {i: self.contract(d) for i, d in enumerate(data) if known[i] is None and len(d) > LONG}
+        short = [i for i, k in enumerate(known) if k is None and i not in long]
+        sizes = np.ones(len(fresh), np.int64)
+        parts = [self._merge([data[i] for i in short[a:a + WORDS_PER_QUERY]]) for a in range(0, len(short), WORDS_PER_QUERY)]
+        sizes[short] = np.concatenate([n for _, n in parts]) if parts else 0
+        sizes[list(long)] = [len(ids) for ids in long.values()]
+        starts = np.cumsum(sizes) - sizes
+        pool = np.zeros(int(sizes.sum()), np.int32)
+        whole = [i for i, k in enumerate(known) if k is not None]
+        pool[starts[whole]] = [known[i] for i in whole]
+        for i, ids in long.items():
+            pool[starts[i]:starts[i] + len(ids)] = ids
+        if parts:
+            n = sizes[short]
+            pool[np.arange(n.sum()) + np.repeat(starts[short] - (np.cumsum(n) - n), n)] = np.concatenate([ids for ids, _ in parts])
+        self.starts = np.concatenate((self.starts, len(self.pool) + starts))
+        self.sizes = np.concatenate((self.sizes, sizes))
+        self.pool = np.concatenate((self.pool, pool))
+
+    def _merge(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words one after the other, and how many each has."""
         single = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
         sizes = np.array([len(w) for w in words])
         ends = np.cumsum(sizes)
@@ -115,7 +149,8 @@ class Coder:
             "place": (np.arange(ends[-1]) - np.repeat(ends - sizes, sizes)).astype(np.int32),
             "token": single[np.frombuffer(b"".join(words), np.uint8)],
         }))
-        return self.db.sql(ENCODE).to_arrow_table().column("ids").to_pylist()
+        found = self.db.sql(ENCODE).to_arrow_table().column("ids").combine_chunks()
+        return found.flatten().to_numpy(), found.value_lengths().to_numpy()
 
     def contract(self, data: bytes) -> list[int]:
         """The same contraction of one long word with a heap of (rank, position)."""
@@ -148,10 +183,11 @@ class Coder:
             "place": np.arange(len(ids), dtype=np.int64),
             "id": np.asarray(ids, np.int32),
         }))
-        if self.db.execute("SELECT count(*) FROM tokens ANTI JOIN vocabulary USING (id)").fetchone()[0]:
+        found = 0
+        for row, (text, n) in zip(np.flatnonzero(sizes), self.db.execute(DECODE).fetchall()):
+            out[row], found = bytes.fromhex(text), found + n
+        if found != len(ids):
             raise ValueError("ids outside the vocabulary")
-        for row, (text,) in zip(np.flatnonzero(sizes), self.db.execute(DECODE).fetchall()):
-            out[row] = bytes.fromhex(text)
         return out
 
 
@@ -175,11 +211,9 @@ def encode(df: DataFrame, text: str = "text", to: str = "ids", ranks: str | None
         bpe = coder(path)
         for batch in batches:
             texts = batch.column(batch.schema.get_field_index(text))
-            for start, stop in text_slices(texts, 2 << 20):
-                ids = bpe.encode([t or "" for t in texts.slice(start, stop - start).to_pylist()])
-                offsets = np.zeros(len(ids) + 1, np.int32)
-                np.cumsum([len(x) for x in ids], out=offsets[1:])
-                flat = np.fromiter((i for x in ids for i in x), np.int32, int(offsets[-1]))
+            for start, stop in text_slices(texts, 16 << 20):
+                flat, sizes = bpe.encode(texts.slice(start, stop - start))
+                offsets = np.concatenate((np.zeros(1, np.int64), np.cumsum(sizes))).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
                 part = batch.slice(start, stop - start)
                 yield pa.RecordBatch.from_arrays([*part.columns, lists], names=[*part.schema.names, to])
