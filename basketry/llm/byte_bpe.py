@@ -30,8 +30,8 @@ from basketry.llm.common import text_slices, without
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 LONG = 24
-CACHE = 500_000
-WORDS_PER_QUERY = 100_000
+CACHE = 250_000
+WORDS_PER_QUERY = 50_000
 
 ENCODE = """
 WITH RECURSIVE step(word, place, token, round) AS (
@@ -69,35 +69,43 @@ class Codes(dict):
         return code
 
 
-class Coder:
-    def __init__(self, path: str):
+def read_ranks(path: str) -> dict[bytes, int]:
+    with open(path, "rb") as lines:
+        return {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+
+
+class Database:
+    """A DuckDB of one Python worker, on one thread and bounded memory."""
+
+    def __init__(self):
         import duckdb
+
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "250MB"})
+
+    def _load(self, name: str, rows: pa.Table) -> None:
+        self.db.register("incoming", rows)
+        self.db.execute(f"CREATE OR REPLACE TABLE {name} AS SELECT * FROM incoming")
+        self.db.unregister("incoming")
+
+
+class Encoder(Database):
+    def __init__(self, path: str):
         import regex
 
-        with open(path, "rb") as lines:
-            self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+        super().__init__()
+        self.ranks = read_ranks(path)
         self.split = regex.compile(public_tokenizers.PATTERN).findall
         self._forget()
-        merges = [
+        merges = np.array([
             (self.ranks[v[:i]], self.ranks[v[i:]], r)
             for v, r in self.ranks.items() for i in range(1, len(v)) if v[:i] in self.ranks and v[i:] in self.ranks
-        ]
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB"})
-        first, second, rank = (pa.array(c, pa.int32()) for c in zip(*merges))
-        self._load("merges", pa.table({"first": first, "second": second, "rank": rank}))
-        self._load("vocabulary", pa.table({
-            "id": pa.array(self.ranks.values(), pa.int32()), "hex": [v.hex() for v in self.ranks],
-        }))
+        ], np.int32)
+        self._load("merges", pa.table({"first": merges[:, 0], "second": merges[:, 1], "rank": merges[:, 2]}))
 
     def _forget(self) -> None:
         self.codes = Codes()
         self.pool, self.starts, self.sizes = np.empty(0, np.int32), np.empty(0, np.int64), np.empty(0, np.int64)
 
-    def _load(self, name: str, rows: pa.Table) -> None:
-        self.db.register("incoming", rows)
-        self.db.execute(f"CREATE OR REPLACE TABLE {name} AS SELECT * FROM incoming")
-        self.db.unregister("incoming")
-
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after the other, and how many each text has."""
         if len(self.codes) > CACHE:
@@ -173,6 +181,13 @@ class Coder:
                     heapq.heappush(heap, (ranks[both], a, both))
         return [ranks[p] for p in parts if p is not None]
 
+
+class Decoder(Database):
+    def __init__(self, path: str):
+        super().__init__()
+        ranks = read_ranks(path)
+        self._load("vocabulary", pa.table({"id": pa.array(ranks.values(), pa.int32()), "hex": [v.hex() for v in ranks]}))
+
     def decode(self, ids: np.ndarray, sizes: np.ndarray) -> list[bytes]:
         """Bytes of each run of ``sizes`` ids; unknown ids raise an error."""
         out = [b""] * len(sizes)
@@ -191,9 +206,8 @@ class Coder:
         return out
 
 
-@functools.lru_cache(maxsize=2)
-def coder(path: str) -> Coder:
-    return Coder(path)
+encoder = functools.lru_cache(maxsize=1)(Encoder)
+decoder = functools.lru_cache(maxsize=1)(Decoder)
 
 
 def encode(df: DataFrame, text: str = "text", to: str = "ids", ranks: str | None = None) -> DataFrame:
@@ -208,10 +222,10 @@ def encode(df: DataFrame, text: str = "text", to: str = "ids", ranks: str | None
     schema = T.StructType([*df.schema.fields, T.StructField(to, T.ArrayType(T.IntegerType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = coder(path)
+        bpe = encoder(path)
         for batch in batches:
             texts = batch.column(batch.schema.get_field_index(text))
-            for start, stop in text_slices(texts, 16 << 20):
+            for start, stop in text_slices(texts, 6 << 20):
                 flat, sizes = bpe.encode(texts.slice(start, stop - start))
                 offsets = np.concatenate((np.zeros(1, np.int64), np.cumsum(sizes))).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
@@ -228,7 +242,7 @@ def decode(df: DataFrame, ids: str = "ids", to: str = "decoded", ranks: str | No
     schema = T.StructType([*df.schema.fields, T.StructField(to, T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = coder(path)
+        bpe = decoder(path)
         for batch in batches:
             lists = batch.column(batch.schema.get_field_index(ids))
             lengths = np.array(pa.compute.list_value_length(lists).fill_null(0).to_pylist(), np.int64)
