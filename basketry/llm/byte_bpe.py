@@ -206,8 +206,14 @@ class Decoder(Database):
         return out
 
 
-encoder = functools.lru_cache(maxsize=1)(Encoder)
-decoder = functools.lru_cache(maxsize=1)(Decoder)
+@functools.lru_cache(maxsize=1)
+def encoder(path: str) -> Encoder:
+    return Encoder(path)
+
+
+@functools.lru_cache(maxsize=1)
+def decoder(path: str) -> Decoder:
+    return Decoder(path)
 
 
 def encode(df: DataFrame, text: str = "text", to: str = "ids", ranks: str | None = None) -> DataFrame:
