@@ -16,6 +16,8 @@ from __future__ import annotations
 import base64
 import functools
 import heapq
+import re
+import unicodedata
 from collections.abc import Iterator
 from itertools import chain, islice
 
@@ -74,6 +76,31 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
 
 
+def _latin(kind: str) -> str:
+    return "".join(c for c in map(chr, range(0x250)) if unicodedata.category(c)[0] == kind)
+
+
+class Words:
+    """The matches of the tokenizer's pattern in a text.
+
+    Texts without a character from U+0250 on go through the same pattern with its classes written out, which the
+    standard library takes half the time for.
+    """
+
+    def __init__(self):
+        import regex
+
+        letters, numbers, space = _latin("L"), _latin("N"), " \t\n\v\f\r\x85\xa0"
+        self.general = regex.compile(public_tokenizers.PATTERN).findall
+        self.latin = re.compile(
+            f" ?[{letters}]+|'s|'t|'re|'ve|'m|'ll|'d| ?[{numbers}]+| ?[^{space}{letters}{numbers}]+"
+            f"|[{space}]+(?![^{space}])|[{space}]+").findall
+        self.beyond = re.compile(r"[^\x00-\u024f]").search
+
+    def __call__(self, text: str) -> list[str]:
+        return (self.general if self.beyond(text) else self.latin)(text)
+
+
 class Database:
     """A DuckDB of one Python worker, on one thread and bounded memory."""
 
@@ -90,11 +117,9 @@ class Database:
 
 class Encoder(Database):
     def __init__(self, path: str):
-        import regex
-
         super().__init__()
         self.ranks = read_ranks(path)
-        self.split = regex.compile(public_tokenizers.PATTERN).findall
+        self.split = Words()
         self._forget()
         merges = np.array([
             (self.ranks[v[:i]], self.ranks[v[i:]], r)
@@ -231,7 +256,7 @@ def encode(df: DataFrame, text: str = "text", to: str = "ids", ranks: str | None
         bpe = encoder(path)
         for batch in batches:
             texts = batch.column(batch.schema.get_field_index(text))
-            for start, stop in text_slices(texts, 6 << 20):
+            for start, stop in text_slices(texts, 8 << 20):
                 flat, sizes = bpe.encode(texts.slice(start, stop - start))
                 offsets = np.concatenate((np.zeros(1, np.int64), np.cumsum(sizes))).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
@@ -255,7 +280,7 @@ def decode(df: DataFrame, ids: str = "ids", to: str = "decoded", ranks: str | No
             start = 0
             while start < len(lists):
                 reach = np.cumsum(lengths[start:])
-                stop = start + max(1, int(np.searchsorted(reach, 400_000, side="right")))
+                stop = start + max(1, int(np.searchsorted(reach, 800_000, side="right")))
                 part = lists.slice(start, stop - start)
                 data = bpe.decode(part.flatten().to_numpy(zero_copy_only=False), lengths[start:stop])
                 rows = batch.slice(start, stop - start)
