@@ -23,6 +23,7 @@ from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -256,7 +257,7 @@ def encode(df: DataFrame, text: str = "text", to: str = "ids", ranks: str | None
         bpe = encoder(path)
         for batch in batches:
             texts = batch.column(batch.schema.get_field_index(text))
-            for start, stop in text_slices(texts, 8 << 20):
+            for start, stop in text_slices(texts, 5 << 20):
                 flat, sizes = bpe.encode(texts.slice(start, stop - start))
                 offsets = np.concatenate((np.zeros(1, np.int64), np.cumsum(sizes))).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
@@ -276,11 +277,11 @@ def decode(df: DataFrame, ids: str = "ids", to: str = "decoded", ranks: str | No
         bpe = decoder(path)
         for batch in batches:
             lists = batch.column(batch.schema.get_field_index(ids))
-            lengths = np.array(pa.compute.list_value_length(lists).fill_null(0).to_pylist(), np.int64)
+            lengths = np.array(pc.list_value_length(lists).fill_null(0).to_pylist(), np.int64)
             start = 0
             while start < len(lists):
                 reach = np.cumsum(lengths[start:])
-                stop = start + max(1, int(np.searchsorted(reach, 800_000, side="right")))
+                stop = start + max(1, int(np.searchsorted(reach, 500_000, side="right")))
                 part = lists.slice(start, stop - start)
                 data = bpe.decode(part.flatten().to_numpy(zero_copy_only=False), lengths[start:stop])
                 rows = batch.slice(start, stop - start)

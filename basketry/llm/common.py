@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,6 +20,19 @@ from basketry.session import work_dir
 CHUNK_BYTES = 1 << 20
 
 
+def ship(spark: SparkSession) -> None:
+    """Make this package importable in Python workers that don't have it; once per application."""
+    context = spark.sparkContext
+    if any(name.startswith("basketry-") for name in context._python_includes):
+        return
+    root = Path(__file__).resolve().parent.parent
+    target = Path(tempfile.mkdtemp()) / f"basketry-{uuid.uuid4().hex}.zip"
+    with zipfile.ZipFile(target, "w") as archive:
+        for source in sorted(root.rglob("*.py")):
+            archive.write(source, source.relative_to(root.parent))
+    context.addPyFile(str(target))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -34,7 +52,7 @@ def spread(df: DataFrame, *columns: str) -> DataFrame:
 
 def text_slices(texts: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int]]:
     """Row ranges of at most ``limit`` text bytes; a longer text is a range of its own."""
-    ends = np.cumsum(np.fromiter((0 if n is None else n for n in pa.compute.binary_length(texts).to_pylist()), np.int64))
+    ends = np.cumsum(np.fromiter((0 if n is None else n for n in pc.binary_length(texts).to_pylist()), np.int64))
     start, base = 0, 0
     while start < len(texts):
         stop = max(start + 1, int(np.searchsorted(ends, base + limit, side="right")))

@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm import byte_bpe, html_extract, language_id, token_counts, voronoi_knn, warc
-from basketry.llm.common import table
+from basketry.llm import byte_bpe, decontaminate, html_extract, language_id, ngram_join, substring_dedup, token_counts, voronoi_knn, warc
+from basketry.llm.common import ship, table
+
+
+def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.component_rows(table(spark, sf_dir, "documents"))
 
 
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,6 +35,10 @@ def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.repeated(table(spark, sf_dir, "documents"))
+
+
 def op7_top_k_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return voronoi_knn.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
@@ -42,11 +52,82 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
 
 
-QUERIES = {q.__name__: q for q in (
-    op2_warc, op3_language_id, op5_html_extraction, op7_top_k_search, op8_byte_bpe, op9_token_counts,
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def _shipped(query):
+    @functools.wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
+QUERIES = {q.__name__: _shipped(q) for q in (
+    op1_ngram_jaccard, op2_warc, op3_language_id, op5_html_extraction, op6_substring_dedup, op7_top_k_search,
+    op8_byte_bpe, op9_token_counts, op10_decontamination,
 )}
 
+# Words and 5-word shingle sets of op1, op6: lower-cased A-Z, words between 0x20 and 0x09 to 0x0D.
+_WORDS = """list_filter(string_split_regex(translate(coalesce({text}, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '')"""
+_SHINGLES = """CASE WHEN len(w) >= 5 THEN list_distinct([array_to_string(w[i:i + 4], ' ') FOR i IN range(1, len(w) - 3)])
+    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE []::VARCHAR[] END"""
+
 ORACLE_SQL = {
+    "op1_ngram_jaccard": f"""
+WITH RECURSIVE word AS (
+    SELECT doc_id, {_WORDS.format(text='text')} AS w FROM documents
+), sets AS (
+    SELECT doc_id, {_SHINGLES} AS s FROM word
+), member AS (
+    SELECT DISTINCT doc_id, len(s) AS n, unnest(s) AS g FROM sets
+), pair AS (
+    SELECT a.doc_id AS x, b.doc_id AS y, any_value(a.n) + any_value(b.n) AS total, count(*) AS shared
+    FROM member a JOIN member b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL
+), link AS (
+    SELECT x, y FROM pair WHERE 100 * shared >= 80 * (total - shared)
+), reach AS (
+    SELECT doc_id AS x, doc_id AS y FROM documents UNION SELECT r.x, l.y FROM reach r JOIN link l ON r.y = l.x
+), class AS (
+    SELECT x, min(y) AS component_id FROM reach GROUP BY x
+), different AS (
+    SELECT l.x, count(DISTINCT list_sort(s.s)) AS n_links
+    FROM link l JOIN sets s ON l.y = s.doc_id JOIN sets o ON l.x = o.doc_id
+    WHERE list_sort(s.s) <> list_sort(o.s) GROUP BY l.x
+)
+SELECT doc_id, len(s) AS n_shingles, component_id, coalesce(n_links, 0) AS n_links
+FROM sets JOIN class ON doc_id = class.x LEFT JOIN different ON doc_id = different.x
+""",
+    "op6_substring_dedup": f"""
+WITH RECURSIVE line AS (
+    SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS paragraph
+    FROM documents
+), word AS (
+    SELECT doc_id, paragraph, {_WORDS.format(text='line')} AS w FROM line
+), passage AS (
+    SELECT doc_id, paragraph, len(w) AS n_words, doc_id * 100000 + paragraph AS id, {_SHINGLES} AS s FROM word WHERE len(w) >= 50
+), member AS (
+    SELECT id, len(s) AS n, unnest(s) AS g FROM passage
+), pair AS (
+    SELECT a.id AS x, b.id AS y, any_value(a.n) + any_value(b.n) AS total, count(*) AS shared
+    FROM member a JOIN member b ON a.g = b.g AND a.id <> b.id GROUP BY ALL
+), link AS (
+    SELECT x, y FROM pair WHERE 100 * shared >= 80 * (total - shared)
+), reach AS (
+    SELECT x, x AS y FROM link UNION SELECT r.x, l.y FROM reach r JOIN link l ON r.y = l.x
+), class AS (
+    SELECT x, min(y) AS first FROM reach GROUP BY x
+), different AS (
+    SELECT l.x, count(DISTINCT list_sort(s.s)) AS n_links
+    FROM link l JOIN passage s ON l.y = s.id JOIN passage o ON l.x = o.id WHERE list_sort(s.s) <> list_sort(o.s) GROUP BY l.x
+)
+SELECT doc_id, paragraph, n_words, first // 100000 AS class_doc_id, first % 100000 AS class_paragraph,
+       coalesce(n_links, 0) AS n_links, id <> first AS removed
+FROM passage JOIN class ON id = class.x LEFT JOIN different ON id = different.x
+""",
     "op2_warc": """
 WITH record AS (
     SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages
