@@ -7,7 +7,7 @@ import functools
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm import byte_bpe, decontaminate, html_extract, language_id, ngram_join, substring_dedup, token_counts, voronoi_knn, warc
+from basketry.llm import byte_bpe, decontaminate, html_extract, language_id, ngram_join, quality, substring_dedup, token_counts, voronoi_knn, warc
 from basketry.llm.common import ship, table
 
 
@@ -30,6 +30,11 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trusted = table(spark, sf_dir, "labels").where("quality = 1 AND toxic = 0").select("doc_id")
+    return quality.classify(table(spark, sf_dir, "documents").select("doc_id", "lang", "text"), trusted)
+
+
 def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = html_extract.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
     return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
@@ -66,7 +71,7 @@ def _shipped(query):
 
 
 QUERIES = {q.__name__: _shipped(q) for q in (
-    op1_ngram_jaccard, op2_warc, op3_language_id, op5_html_extraction, op6_substring_dedup, op7_top_k_search,
+    op1_ngram_jaccard, op2_warc, op3_language_id, op4_quality_classifier, op5_html_extraction, op6_substring_dedup, op7_top_k_search,
     op8_byte_bpe, op9_token_counts, op10_decontamination,
 )}
 
