@@ -233,7 +233,8 @@ def classify(df: DataFrame, trusted: DataFrame, text: str = "text", lang: str =
     text nothing is judged and all of them are null.
     """
     df = without(df, "perplexity", "limit", "good")
-    model = train(df.join(trusted.select(key).distinct(), key, "left_semi"), text)
+    # Never broadcast: the ids grow with the labels, and the join should run alike at every size.
+    model = train(df.select(key, text).join(trusted.select(key).distinct().hint("merge"), key, "left_semi"), text)
     scored = stored(perplexity(df.select(key, lang, text), model, text).drop(text), "perplexities")
     limits = stored(thresholds(scored, trusted, lang, key, quantile), "limits")
     highest = limits.agg(F.max("limit")).first()[0]
