@@ -33,8 +33,8 @@ from basketry.llm.common import text_slices, without
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 LONG = 24
-CACHE = 250_000
-WORDS_PER_QUERY = 50_000
+CACHE = 200_000
+WORDS_PER_QUERY = 40_000
 
 ENCODE = """
 WITH RECURSIVE step(word, place, token, round) AS (
@@ -108,7 +108,7 @@ class Database:
     def __init__(self):
         import duckdb
 
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "250MB"})
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "200MB"})
 
     def _load(self, name: str, rows: pa.Table) -> None:
         self.db.register("incoming", rows)
@@ -242,6 +242,35 @@ def decoder(path: str) -> Decoder:
     return Decoder(path)
 
 
+Batches = Iterator[pa.RecordBatch]
+
+
+def _encode(batches: Batches, bpe: Encoder, text: str, to: str) -> Batches:
+    for batch in batches:
+        texts = batch.column(batch.schema.get_field_index(text))
+        for start, stop in text_slices(texts, 4 << 20):
+            flat, sizes = bpe.encode(texts.slice(start, stop - start))
+            offsets = np.concatenate((np.zeros(1, np.int64), np.cumsum(sizes))).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
+            part = batch.slice(start, stop - start)
+            yield pa.RecordBatch.from_arrays([*part.columns, lists], names=[*part.schema.names, to])
+
+
+def _decode(batches: Batches, bpe: Decoder, ids: str, to: str) -> Batches:
+    for batch in batches:
+        lists = batch.column(batch.schema.get_field_index(ids))
+        lengths = np.array(pc.list_value_length(lists).fill_null(0).to_pylist(), np.int64)
+        start = 0
+        while start < len(lists):
+            reach = np.cumsum(lengths[start:])
+            stop = start + max(1, int(np.searchsorted(reach, 500_000, side="right")))
+            part = lists.slice(start, stop - start)
+            data = bpe.decode(part.flatten().to_numpy(zero_copy_only=False), lengths[start:stop])
+            rows = batch.slice(start, stop - start)
+            yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(data, pa.binary())], names=[*rows.schema.names, to])
+            start = stop
+
+
 def encode(df: DataFrame, text: str = "text", to: str = "ids", ranks: str | None = None) -> DataFrame:
     """``df`` with the token ids of ``text`` as ``array<int>``, as the public encoder gives them without special tokens.
 
@@ -252,19 +281,7 @@ def encode(df: DataFrame, text: str = "text", to: str = "ids", ranks: str | None
     path = ranks or public_tokenizers.path(RANKS)
     df = without(df, to)
     schema = T.StructType([*df.schema.fields, T.StructField(to, T.ArrayType(T.IntegerType()))])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = encoder(path)
-        for batch in batches:
-            texts = batch.column(batch.schema.get_field_index(text))
-            for start, stop in text_slices(texts, 5 << 20):
-                flat, sizes = bpe.encode(texts.slice(start, stop - start))
-                offsets = np.concatenate((np.zeros(1, np.int64), np.cumsum(sizes))).astype(np.int32)
-                lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
-                part = batch.slice(start, stop - start)
-                yield pa.RecordBatch.from_arrays([*part.columns, lists], names=[*part.schema.names, to])
-
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(lambda batches: _encode(batches, encoder(path), text, to), schema)
 
 
 def decode(df: DataFrame, ids: str = "ids", to: str = "decoded", ranks: str | None = None) -> DataFrame:
@@ -272,22 +289,19 @@ def decode(df: DataFrame, ids: str = "ids", to: str = "decoded", ranks: str | No
     path = ranks or public_tokenizers.path(RANKS)
     df = without(df, to)
     schema = T.StructType([*df.schema.fields, T.StructField(to, T.BinaryType())])
+    return df.mapInArrow(lambda batches: _decode(batches, decoder(path), ids, to), schema)
+
+
+def round_trip(df: DataFrame, text: str = "text", ids: str = "ids", decoded: str = "decoded", ranks: str | None = None) -> DataFrame:
+    """``encode`` and ``decode`` in one pass of one worker, with ``text`` left out of the result."""
+    path = ranks or public_tokenizers.path(RANKS)
+    df = without(df, ids, decoded)
+    schema = T.StructType([*(f for f in df.schema.fields if f.name != text), T.StructField(ids, T.ArrayType(T.IntegerType())),
+                           T.StructField(decoded, T.BinaryType())])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = decoder(path)
-        for batch in batches:
-            lists = batch.column(batch.schema.get_field_index(ids))
-            lengths = np.array(pc.list_value_length(lists).fill_null(0).to_pylist(), np.int64)
-            start = 0
-            while start < len(lists):
-                reach = np.cumsum(lengths[start:])
-                stop = start + max(1, int(np.searchsorted(reach, 500_000, side="right")))
-                part = lists.slice(start, stop - start)
-                data = bpe.decode(part.flatten().to_numpy(zero_copy_only=False), lengths[start:stop])
-                rows = batch.slice(start, stop - start)
-                yield pa.RecordBatch.from_arrays(
-                    [*rows.columns, pa.array(data, pa.binary())], names=[*rows.schema.names, to])
-                start = stop
+    def run(batches: Batches) -> Batches:
+        encoded = (batch.drop_columns([text]) for batch in _encode(batches, encoder(path), text, ids))
+        return _decode(encoded, decoder(path), ids, decoded)
 
     return df.mapInArrow(run, schema)
 

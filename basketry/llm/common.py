@@ -18,10 +18,16 @@ from basketry.session import work_dir
 
 # Text bytes that go through numpy at a time; temporary arrays take about 40 times as much.
 CHUNK_BYTES = 1 << 20
+ROWS_PER_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def ship(spark: SparkSession) -> None:
-    """Make this package importable in Python workers that don't have it; once per application."""
+    """Make this package importable in Python workers that don't have it; once per application.
+
+    Documents are long rows, so fewer than the default 10,000 of them go to a Python worker at a time.
+    """
+    if int(spark.conf.get(ROWS_PER_BATCH)) > 1000:
+        spark.conf.set(ROWS_PER_BATCH, "1000")
     context = spark.sparkContext
     if any(name.startswith("basketry-") for name in context._python_includes):
         return

@@ -50,7 +50,7 @@ def op7_top_k_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return byte_bpe.digests(byte_bpe.decode(byte_bpe.encode(documents).drop("text")))
+    return byte_bpe.digests(byte_bpe.round_trip(documents))
 
 
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
