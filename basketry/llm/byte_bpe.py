@@ -14,7 +14,6 @@ A round handles one pair of a word, so the rows of one word grow with the square
 from __future__ import annotations
 
 import base64
-import functools
 import heapq
 import re
 import unicodedata
@@ -35,6 +34,7 @@ RANKS = "byte_bpe_multi_50k.tiktoken"
 LONG = 24
 CACHE = 200_000
 WORDS_PER_QUERY = 40_000
+IDS_PER_QUERY = 250_000
 
 ENCODE = """
 WITH RECURSIVE step(word, place, token, round) AS (
@@ -60,7 +60,7 @@ SELECT word, list(token ORDER BY place) AS ids FROM step JOIN ended USING (word,
 """
 
 DECODE = """
-SELECT string_agg(hex, '' ORDER BY place) AS hex, count(*) AS n FROM tokens JOIN vocabulary USING (id) GROUP BY text ORDER BY text
+SELECT text, string_agg(hex, '' ORDER BY place) AS hex, count(*) AS n FROM tokens JOIN vocabulary USING (id) GROUP BY text ORDER BY text
 """
 
 
@@ -108,7 +108,13 @@ class Database:
     def __init__(self):
         import duckdb
 
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "200MB"})
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "300MB"})
+
+    def __enter__(self):
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.db.close()
 
     def _load(self, name: str, rows: pa.Table) -> None:
         self.db.register("incoming", rows)
@@ -216,9 +222,20 @@ class Decoder(Database):
 
     def decode(self, ids: np.ndarray, sizes: np.ndarray) -> list[bytes]:
         """Bytes of each run of ``sizes`` ids; unknown ids raise an error."""
-        out = [b""] * len(sizes)
-        if not len(ids):
-            return out
+        text = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+        parts: list[list[bytes]] = [[] for _ in sizes]
+        # A query takes a bounded number of ids, also of one long text; the parts of a text follow each other.
+        for start in range(0, len(ids), IDS_PER_QUERY):
+            stop, found = min(start + IDS_PER_QUERY, len(ids)), 0
+            self._load("tokens", pa.table({
+                "text": text[start:stop], "place": np.arange(start, stop), "id": np.asarray(ids[start:stop], np.int32),
+            }))
+            for row, hex_, n in self.db.execute(DECODE).fetchall():
+                parts[row].append(bytes.fromhex(hex_))
+                found += n
+            if found != stop - start:
+                raise ValueError("ids outside the vocabulary")
+        return [b"".join(p) for p in parts]
         self._load("tokens", pa.table({
             "text": np.repeat(np.arange(len(sizes), dtype=np.int32), sizes),
             "place": np.arange(len(ids), dtype=np.int64),
@@ -232,43 +249,29 @@ class Decoder(Database):
         return out
 
 
-@functools.lru_cache(maxsize=1)
-def encoder(path: str) -> Encoder:
-    return Encoder(path)
-
-
-@functools.lru_cache(maxsize=1)
-def decoder(path: str) -> Decoder:
-    return Decoder(path)
+Batches = Iterator[pa.RecordBatch]
 
 
-Batches = Iterator[pa.RecordBatch]
+def _encode(batches: Batches, path: str, text: str, to: str) -> Batches:
+    # An encoder lives as long as its task: workers are used again, and its memory must not stay behind.
+    with Encoder(path) as bpe:
+        for batch in batches:
+            texts = batch.column(batch.schema.get_field_index(text))
+            for start, stop in text_slices(texts, 4 << 20):
+                flat, sizes = bpe.encode(texts.slice(start, stop - start))
+                offsets = np.concatenate((np.zeros(1, np.int64), np.cumsum(sizes))).astype(np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
+                part = batch.slice(start, stop - start)
+                yield pa.RecordBatch.from_arrays([*part.columns, lists], names=[*part.schema.names, to])
 
 
-def _encode(batches: Batches, bpe: Encoder, text: str, to: str) -> Batches:
-    for batch in batches:
-        texts = batch.column(batch.schema.get_field_index(text))
-        for start, stop in text_slices(texts, 4 << 20):
-            flat, sizes = bpe.encode(texts.slice(start, stop - start))
-            offsets = np.concatenate((np.zeros(1, np.int64), np.cumsum(sizes))).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
-            part = batch.slice(start, stop - start)
-            yield pa.RecordBatch.from_arrays([*part.columns, lists], names=[*part.schema.names, to])
-
-
-def _decode(batches: Batches, bpe: Decoder, ids: str, to: str) -> Batches:
-    for batch in batches:
-        lists = batch.column(batch.schema.get_field_index(ids))
-        lengths = np.array(pc.list_value_length(lists).fill_null(0).to_pylist(), np.int64)
-        start = 0
-        while start < len(lists):
-            reach = np.cumsum(lengths[start:])
-            stop = start + max(1, int(np.searchsorted(reach, 500_000, side="right")))
-            part = lists.slice(start, stop - start)
-            data = bpe.decode(part.flatten().to_numpy(zero_copy_only=False), lengths[start:stop])
-            rows = batch.slice(start, stop - start)
-            yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(data, pa.binary())], names=[*rows.schema.names, to])
-            start = stop
+def _decode(batches: Batches, path: str, ids: str, to: str) -> Batches:
+    with Decoder(path) as bpe:
+        for batch in batches:
+            lists = batch.column(batch.schema.get_field_index(ids))
+            lengths = np.array(pc.list_value_length(lists).fill_null(0).to_pylist(), np.int64)
+            data = bpe.decode(lists.flatten().to_numpy(zero_copy_only=False), lengths)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(data, pa.binary())], names=[*batch.schema.names, to])
 
 
 def encode(df: DataFrame, text: str = "text", to: str = "ids", ranks: str | None = None) -> DataFrame:
@@ -281,7 +284,7 @@ def encode(df: DataFrame, text: str = "text", to: str = "ids", ranks: str | None
     path = ranks or public_tokenizers.path(RANKS)
     df = without(df, to)
     schema = T.StructType([*df.schema.fields, T.StructField(to, T.ArrayType(T.IntegerType()))])
-    return df.mapInArrow(lambda batches: _encode(batches, encoder(path), text, to), schema)
+    return df.mapInArrow(lambda batches: _encode(batches, path, text, to), schema)
 
 
 def decode(df: DataFrame, ids: str = "ids", to: str = "decoded", ranks: str | None = None) -> DataFrame:
@@ -289,7 +292,7 @@ def decode(df: DataFrame, ids: str = "ids", to: str = "decoded", ranks: str | No
     path = ranks or public_tokenizers.path(RANKS)
     df = without(df, to)
     schema = T.StructType([*df.schema.fields, T.StructField(to, T.BinaryType())])
-    return df.mapInArrow(lambda batches: _decode(batches, decoder(path), ids, to), schema)
+    return df.mapInArrow(lambda batches: _decode(batches, path, ids, to), schema)
 
 
 def round_trip(df: DataFrame, text: str = "text", ids: str = "ids", decoded: str = "decoded", ranks: str | None = None) -> DataFrame:
@@ -300,8 +303,8 @@ def round_trip(df: DataFrame, text: str = "text", ids: str = "ids", decoded: str
                            T.StructField(decoded, T.BinaryType())])
 
     def run(batches: Batches) -> Batches:
-        encoded = (batch.drop_columns([text]) for batch in _encode(batches, encoder(path), text, ids))
-        return _decode(encoded, decoder(path), ids, decoded)
+        encoded = (batch.drop_columns([text]) for batch in _encode(batches, path, text, ids))
+        return _decode(encoded, path, ids, decoded)
 
     return df.mapInArrow(run, schema)
 

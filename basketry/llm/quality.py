@@ -29,8 +29,8 @@ from basketry.llm.common import stored, text_slices, without
 from basketry.session import work_dir
 
 ORDER = 5
-SHARD_ROWS = 2_000_000
-KEPT = 8
+SHARD_ROWS = 1_000_000
+KEPT = 6
 FLUSH = 4 << 20
 QUANTILE = 0.99
 SLACK = 1.3
