@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from basketry.llm.common import text_slices, without
+from basketry.llm.common import text_slices, tidy, without
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 LONG = 24
@@ -284,7 +284,7 @@ def encode(df: DataFrame, text: str = "text", to: str = "ids", ranks: str | None
     path = ranks or public_tokenizers.path(RANKS)
     df = without(df, to)
     schema = T.StructType([*df.schema.fields, T.StructField(to, T.ArrayType(T.IntegerType()))])
-    return df.mapInArrow(lambda batches: _encode(batches, path, text, to), schema)
+    return df.mapInArrow(tidy(lambda batches: _encode(batches, path, text, to)), schema)
 
 
 def decode(df: DataFrame, ids: str = "ids", to: str = "decoded", ranks: str | None = None) -> DataFrame:
@@ -292,7 +292,7 @@ def decode(df: DataFrame, ids: str = "ids", to: str = "decoded", ranks: str | No
     path = ranks or public_tokenizers.path(RANKS)
     df = without(df, to)
     schema = T.StructType([*df.schema.fields, T.StructField(to, T.BinaryType())])
-    return df.mapInArrow(lambda batches: _decode(batches, path, ids, to), schema)
+    return df.mapInArrow(tidy(lambda batches: _decode(batches, path, ids, to)), schema)
 
 
 def round_trip(df: DataFrame, text: str = "text", ids: str = "ids", decoded: str = "decoded", ranks: str | None = None) -> DataFrame:
@@ -306,7 +306,7 @@ def round_trip(df: DataFrame, text: str = "text", ids: str = "ids", decoded: str
         encoded = (batch.drop_columns([text]) for batch in _encode(batches, path, text, ids))
         return _decode(encoded, path, ids, decoded)
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(tidy(run), schema)
 
 
 def digests(df: DataFrame, ids: str = "ids", decoded: str = "decoded") -> DataFrame:

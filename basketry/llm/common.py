@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import uuid
 import zipfile
@@ -17,7 +19,7 @@ from pyspark.sql import functions as F
 from basketry.session import work_dir
 
 # Text bytes that go through numpy at a time; temporary arrays take about 40 times as much.
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
 ROWS_PER_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
@@ -39,6 +41,27 @@ def ship(spark: SparkSession) -> None:
     context.addPyFile(str(target))
 
 
+def _release() -> None:
+    """Hand freed memory back to the system: Python workers are used again, and what one task freed would stay with them."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
+def tidy(run):
+    """``run``, a function over batches, that gives back its memory when a task ends."""
+    def wrapped(batches):
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            _release()
+
+    return wrapped
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

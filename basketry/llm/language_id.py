@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketry.llm.common import flat_bytes, text_slices, without
+from basketry.llm.common import flat_bytes, text_slices, tidy, without
 
 BUCKETS = 1 << 16
 SEGMENT = 48
@@ -70,7 +70,7 @@ def train(df: DataFrame, text: str = "text", lang: str = "lang") -> Model:
             yield pa.RecordBatch.from_arrays(
                 [pa.array([label] * len(bucket)), pa.array(bucket), pa.array(total[bucket])], names=["lang", "bucket", "n"])
 
-    counts = rows.mapInArrow(count, "lang string, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
+    counts = rows.mapInArrow(tidy(count), "lang string, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     found = counts.toPandas()
     languages = sorted(found["lang"].unique())
     table = np.zeros((BUCKETS, len(languages)))
@@ -149,6 +149,9 @@ def identify(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
 
     @F.pandas_udf(added)
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        yield from tidy(score)(batches)
+
+    def score(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         model = shared.value
         for batch in batches:
             texts = pa.array(batch.astype(object).where(batch.notna(), None), pa.large_string())

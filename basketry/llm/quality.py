@@ -25,7 +25,7 @@ from pyarrow.fs import FileSelector, FileSystem
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketry.llm.common import stored, text_slices, without
+from basketry.llm.common import stored, text_slices, tidy, without
 from basketry.session import work_dir
 
 ORDER = 5
@@ -84,7 +84,7 @@ def _counts(texts: DataFrame) -> DataFrame:
                     grams, counts = np.empty(0, np.int64), np.empty(0, np.int64)
         yield batch()
 
-    return texts.mapInArrow(run, "gram long, c long").groupBy("gram").agg(F.sum("c").alias("c"))
+    return texts.mapInArrow(tidy(run), "gram long, c long").groupBy("gram").agg(F.sum("c").alias("c"))
 
 
 def discounts(counts: dict[int, int]) -> list[float]:

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketry.llm.common import mix, shingle_sets, signature, stored
+from basketry.llm.common import mix, shingle_sets, signature, stored, tidy
 from basketry.llm.set_links import clusters, linked
 
 MIN_WORDS = 50
@@ -89,7 +89,7 @@ def repeated(documents: DataFrame, min_words: int = MIN_WORDS, key: str = "doc_i
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from _batches(((d, p, w, signature(h), band_keys(h)) for d, p, w, h in _sets(batches, min_words)), kinds)
 
-    described = stored(base.mapInArrow(describe, "doc_id long, paragraph int, n_words int, sig long, bands array<long>"), "passages")
+    described = stored(base.mapInArrow(tidy(describe), "doc_id long, paragraph int, n_words int, sig long, bands array<long>"), "passages")
     first = F.min(F.struct("doc_id", "paragraph")).alias("rep")
     classes = stored(described.groupBy("sig").agg(first, F.count(F.lit(1)).alias("copies")), "passage-classes")
     # All copies of a class have its bands; the first stands for it.
@@ -104,7 +104,7 @@ def repeated(documents: DataFrame, min_words: int = MIN_WORDS, key: str = "doc_i
         yield from _batches(((signature(h), len(h), np.sort(h.view(np.int64)).tobytes()) for _, _, _, h in _sets(batches, min_words)), shapes)
 
     sets = base.join(stored(wanted, "wanted"), "doc_id").select("doc_id", "text", "only").mapInArrow(
-        elements, "id long, n long, elements binary").dropDuplicates(["id"])
+        tidy(elements), "id long, n long, elements binary").dropDuplicates(["id"])
     found = stored(linked(sets, near), "passage-links").withColumnRenamed("id", "sig")
 
     labelled = stored(classes.join(found, "sig", "left").select(
