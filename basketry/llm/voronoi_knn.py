@@ -152,7 +152,7 @@ def search(df: DataFrame, is_query, k: int = 20, scale: float = 64.0, key: str =
     spark = df.sparkSession
     rows = df.select(F.col(key).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("x"),
                      F.coalesce(is_query, F.lit(False)).alias("asks")).where("id IS NOT NULL AND x IS NOT NULL")
-    size = rows.agg(F.max(F.size("x"))).first()[0] or 0
+    size = max(1, rows.agg(F.max(F.size("x"))).first()[0] or 0)
 
     def clean(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
