@@ -1,30 +1,29 @@
-"""Money arithmetic: exact sums, guarded ratios, rounding.
+"""Money arithmetic: sums that don't depend on row order, guarded ratios, rounding.
 
 Amounts are doubles, as in the source model, but a sum of doubles depends on the
 order rows arrive in: a retried task or a partial refresh would change last
-digits and break ranking ties. Sums therefore run over whole numbers of
-1/10,000 currency units in a long, which stays a fixed-width hash-aggregation
-buffer and raises on overflow (beyond 9.2e14 units of currency per group)
-instead of wrapping.
+digits and break ranking ties. Sums therefore run over decimals with ``SCALE``
+digits after the point, which keeps hash aggregation and raises on overflow
+(an amount from 1e14, a sum from 1e24 units of currency) instead of wrapping.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-MINOR_UNITS = 10_000
+SCALE = 10
 
 
-def minor_units(amount: Column) -> Column:
-    return F.rint(amount * F.lit(float(MINOR_UNITS))).cast("long")
+def as_decimal(amount: Column) -> Column:
+    return amount.cast(f"decimal(24,{SCALE})")
 
 
-def from_minor_units(units: Column) -> Column:
-    return units.cast("double") / F.lit(float(MINOR_UNITS))
+def as_double(total: Column) -> Column:
+    return total.cast("double")
 
 
 def exact_sum(amount: Column) -> Column:
-    return from_minor_units(F.sum(minor_units(amount)))
+    return as_double(F.sum(as_decimal(amount)))
 
 
 def exact_avg(amount: Column) -> Column:

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, functions as F
 
 from basketry.functions.dates import as_of_date, in_last_days
-from basketry.functions.money import exact_avg, exact_sum, from_minor_units, minor_units
+from basketry.functions.money import as_decimal, as_double, exact_avg, exact_sum
 
 DAILY_KEYS = ("order_date", "region", "user_plan_type")
 
@@ -31,8 +31,8 @@ _HORIZONS = (("last_30d", 30), ("last_90d", 90), ("all_time", None))
 
 
 def _product_sums(as_of: Column) -> list[Column]:
-    """Whole-number sums per horizon that still allow attaching the unit cost later."""
-    quantity, net = F.col("quantity").cast("long"), minor_units(F.col("net_revenue"))
+    """Sums per horizon that still allow attaching the unit cost later."""
+    quantity, net = F.col("quantity").cast("long"), as_decimal(F.col("net_revenue"))
     costed = F.when(F.col("net_revenue").isNotNull(), quantity)
     sums = []
     for suffix, days in _HORIZONS:
@@ -80,12 +80,12 @@ def agg_product_performance(
     cost = F.col("product_cost_price")
     measures = []
     for suffix, _ in _HORIZONS:
-        known = F.col(f"net_{suffix}") - minor_units(cost * F.col(f"costed_{suffix}"))
+        known = F.col(f"net_{suffix}") - cost.cast("decimal(17,10)") * F.col(f"costed_{suffix}").cast("decimal(15,0)")
         only_outside = F.when(F.col(f"outside_{suffix}") > 0, F.lit(0).cast("long"))
         profit = F.when(cost.isNull(), only_outside).otherwise(known)
         measures += [
             F.sum(f"units_{suffix}").alias(f"units_{suffix}"),
-            from_minor_units(F.sum(f"net_{suffix}")).alias(f"revenue_{suffix}"),
-            from_minor_units(F.sum(profit)).alias(f"profit_{suffix}"),
+            as_double(F.sum(f"net_{suffix}")).alias(f"revenue_{suffix}"),
+            as_double(F.sum(profit)).alias(f"profit_{suffix}"),
         ]
     return per_product.groupBy("product_id", "product_name").agg(*measures)

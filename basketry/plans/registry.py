@@ -14,6 +14,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from basketry.functions import money
 from basketry.functions.labels import DOMAIN_STATUS_LABELS
 from basketry.operators import aggregates, dimensions, facts, quality, ranking, staging
 from basketry.plans import panels, reports, warehouse
@@ -291,7 +292,15 @@ def _(t):
 
 @query("latest_orders")
 def _(t):
-    return ranking.latest_orders(t.order_fact)
+    """Ten orders first, their dimensions after."""
+    return facts.fct_orders(ranking.latest_orders(t.orders), t.products, t.users)
+
+
+@query("daily_revenue_small_amounts")
+def _(t):
+    """Amounts far below a hundredth of a unit add up."""
+    small = t.order_fact.withColumn("net_revenue", F.col("net_revenue") / 1048576)
+    return small.groupBy("order_date", "region").agg(money.exact_sum(F.col("net_revenue")).alias("total_net_revenue"))
 
 
 @query("preview_orders")

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from basketry.functions.dates import (
     as_of_date, in_last_days, in_last_months, month_number, month_start, year_month,
 )
-from basketry.functions.money import exact_sum, from_minor_units, minor_units, percent, round_half_away
+from basketry.functions.money import as_decimal, as_double, exact_sum, percent, round_half_away
 from basketry.operators.facts import user_device_outcomes
 from basketry.operators.ranking import top_ranked
 from basketry.schemas import FUNNEL_STEPS
@@ -112,7 +112,7 @@ def top_products_by_region(
     """
     keys = ["region", "product_id", "product_name", "product_category"]
     recent = fct_orders.filter(in_last_days(F.col("order_date"), as_of_date(as_of), days))
-    units = F.sum(minor_units(F.col("net_revenue"))).alias("units")
+    units = F.sum(as_decimal(F.col("net_revenue"))).alias("units")
     if stg_products is None:
         revenue = recent.groupBy(*keys).agg(units)
     else:
@@ -120,7 +120,7 @@ def top_products_by_region(
         summed = recent.groupBy("region", "product_id").agg(units)
         revenue = summed.join(names, "product_id", "left").groupBy(*keys).agg(F.sum("units").alias("units"))
     ranked = top_ranked(
-        revenue.select(*keys, from_minor_units(F.col("units")).alias("total_revenue")),
+        revenue.select(*keys, as_double(F.col("units")).alias("total_revenue")),
         ["region"], "total_revenue", n, "product_rank",
     )
     return ranked.orderBy("region", "product_rank", "product_id")
@@ -142,10 +142,10 @@ def at_risk_customers(
     per_user = fct_orders.filter(F.col("user_id").isNotNull()).groupBy("user_id").agg(
         F.count("order_id").alias("orders"),
         F.max("order_date").alias("last_order"),
-        F.sum(minor_units(F.col("net_revenue"))).alias("units"),
+        F.sum(as_decimal(F.col("net_revenue"))).alias("units"),
     )
     paying = dim_users.filter(F.col("plan_type").isin(*plans)).select("user_id", "plan_type")
-    revenue = [from_minor_units(F.sum("units")).alias("lifetime_revenue")] if lifetime_revenue else []
+    revenue = [as_double(F.sum("units")).alias("lifetime_revenue")] if lifetime_revenue else []
     summed = paying.join(per_user, "user_id").groupBy("user_id", "plan_type").agg(
         F.sum("orders").alias("total_orders"), F.max("last_order").alias("last_order_date"), *revenue
     )

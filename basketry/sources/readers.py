@@ -7,7 +7,9 @@ from pyspark.sql.streaming import DataStreamReader
 
 from basketry.schemas import RAW
 
-CSV_OPTIONS = {"header": "true", "sep": ",", "quote": '"'}
+# A quote inside quotes is doubled. Values with line breaks need ``multiLine="true"``, which stops Spark from
+# splitting files, so it is left to callers.
+CSV_OPTIONS = {"header": "true", "sep": ",", "quote": '"', "escape": '"'}
 
 # The users export writes day-first dates; the other tables are ISO.
 CSV_TABLE_OPTIONS = {

@@ -15,7 +15,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from basketry.functions.money import from_minor_units, minor_units
+from basketry.functions.money import as_decimal, as_double
 from basketry.operators.facts import STEP_TIMES, fct_orders, step_minima, with_step_outcomes, with_user
 from basketry.operators.staging import clean_events, stg_orders
 from basketry.schemas import ANALYTICS, FUNNEL_STEPS
@@ -138,18 +138,18 @@ def live_daily_revenue(
         F.window("created_at", "1 day").alias("day"), "region", "user_plan_type"
     ).agg(
         F.count("order_id").alias("order_count"),
-        F.sum(minor_units(gross)).alias("gross"),
-        F.sum(minor_units(net)).alias("net"),
+        F.sum(as_decimal(gross)).alias("gross"),
+        F.sum(as_decimal(net)).alias("net"),
         F.count(net).alias("priced"),
     )
-    average = F.try_divide(from_minor_units(F.col("net")), F.col("priced").cast("double"))
+    average = F.try_divide(as_double(F.col("net")), F.col("priced").cast("double"))
     return sums.select(
         F.to_date("day.start").alias("order_date"),
         "region",
         "user_plan_type",
         "order_count",
-        from_minor_units(F.col("gross")).alias("total_gross_revenue"),
-        from_minor_units(F.col("net")).alias("total_net_revenue"),
+        as_double(F.col("gross")).alias("total_gross_revenue"),
+        as_double(F.col("net")).alias("total_net_revenue"),
         average.alias("Avg_net_revenue"),
     )
 

@@ -5,7 +5,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from basketry.functions.money import minor_units
+from basketry.functions.money import as_decimal
 from basketry.plans import reports
 from basketry.plans.registry import AS_OF, QUERIES, Tables
 from tests.test_registry import DATA
@@ -19,7 +19,7 @@ def tables(spark):
 
 
 def units(df, column):
-    return df.agg(F.sum(minor_units(F.col(column)))).first()[0]
+    return df.agg(F.sum(as_decimal(F.col(column)))).first()[0]
 
 
 def test_daily_revenue_adds_up_to_the_fact(tables):

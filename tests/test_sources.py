@@ -196,3 +196,12 @@ def test_sample_files(spark):
     performance = models["agg_product_performance"].selectExpr("sum(units_last_30d)", "round(sum(revenue_last_30d), 2)", "round(sum(revenue_last_90d), 2)")
     assert tuple(performance.first()) == (26, 1100.74, 2184.52)
     assert models["agg_daily_revenue"].count() == 20
+
+
+def test_doubled_quotes_and_commas_stay_in_their_column(spark, tmp_path):
+    header = ",".join(RAW["products"].fieldNames())
+    values = ["p1" if f.name == "product_id" else '"24"" Monitor, black"' if f.name == "product_name" else "" for f in RAW["products"]]
+    (tmp_path / "products").mkdir()
+    (tmp_path / "products" / "a.csv").write_text(f"{header}\n{','.join(values)}\n")
+    row = readers.read_products(spark, str(tmp_path)).first()
+    assert (row.product_id, row.product_name) == ("p1", '24" Monitor, black')
