@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from basketry.operators import facts, staging
 from basketry.plans import warehouse
-from basketry.schemas import ANALYTICS, REPORTS, STAGING
+from basketry.schemas import ANALYTICS, RAW, REPORTS, STAGING
 from basketry.session import work_dir
 from basketry.sources import readers, writers
 from tests.conftest import AS_OF, event, final_plan, order, product, rows, ts, user
