@@ -28,8 +28,8 @@ def ship(spark: SparkSession) -> None:
 
     Documents are long rows, so fewer than the default 10,000 of them go to a Python worker at a time.
     """
-    if int(spark.conf.get(ROWS_PER_BATCH)) > 1000:
-        spark.conf.set(ROWS_PER_BATCH, "1000")
+    if int(spark.conf.get(ROWS_PER_BATCH)) > 2500:
+        spark.conf.set(ROWS_PER_BATCH, "2500")
     context = spark.sparkContext
     if any(name.startswith("basketry-") for name in context._python_includes):
         return
