@@ -236,17 +236,6 @@ class Decoder(Database):
             if found != stop - start:
                 raise ValueError("ids outside the vocabulary")
         return [b"".join(p) for p in parts]
-        self._load("tokens", pa.table({
-            "text": np.repeat(np.arange(len(sizes), dtype=np.int32), sizes),
-            "place": np.arange(len(ids), dtype=np.int64),
-            "id": np.asarray(ids, np.int32),
-        }))
-        found = 0
-        for row, (text, n) in zip(np.flatnonzero(sizes), self.db.execute(DECODE).fetchall()):
-            out[row], found = bytes.fromhex(text), found + n
-        if found != len(ids):
-            raise ValueError("ids outside the vocabulary")
-        return out
 
 
 Batches = Iterator[pa.RecordBatch]
