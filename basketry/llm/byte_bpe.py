@@ -138,23 +138,27 @@ class Encoder(Database):
         self.codes = Codes()
         self.pool, self.starts, self.sizes = np.empty(0, np.int32), np.empty(0, np.int64), np.empty(0, np.int64)
 
-    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts one after the other, and how many each text has."""
+    def encode(self, texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+        """Row ranges of the texts, with all their ids one after the other and how many each row has.
+
+        The words of all texts are learnt together, in few queries; ids are gathered from range to range.
+        """
         if len(self.codes) > CACHE:
             self._forget()
-        words, counts = [], []
+        found = []
         for start, stop in text_slices(texts):
             split = [self.split(t) if t else [] for t in texts.slice(start, stop - start).to_pylist()]
-            counts += [len(w) for w in split]
-            words.append(np.fromiter(map(self.codes.__getitem__, chain.from_iterable(split)), np.int32, sum(counts[start:])))
+            counts = np.array([len(w) for w in split], np.int64)
+            found.append((start, stop, counts, np.fromiter(map(self.codes.__getitem__, chain.from_iterable(split)), np.int32, counts.sum())))
+            del split
         self._learn(list(islice(self.codes, len(self.sizes), None)))
-        codes = np.concatenate(words) if words else np.empty(0, np.int32)
-        sizes = self.sizes[codes]
-        ends = np.cumsum(sizes)
-        total = int(ends[-1]) if len(ends) else 0
-        flat = self.pool[np.arange(total) + np.repeat(self.starts[codes] - (ends - sizes), sizes)]
-        bounds = np.concatenate(([0], ends))[np.concatenate(([0], np.cumsum(np.array(counts, np.int64))))]
-        return flat, np.diff(bounds)
+        for start, stop, counts, codes in found:
+            sizes = self.sizes[codes]
+            ends = np.cumsum(sizes)
+            total = int(ends[-1]) if len(ends) else 0
+            flat = self.pool[np.arange(total) + np.repeat(self.starts[codes] - (ends - sizes), sizes)]
+            bounds = np.concatenate(([0], ends))[np.concatenate(([0], np.cumsum(counts)))]
+            yield start, stop, flat, np.diff(bounds)
 
     def _learn(self, fresh: list[str]) -> None:
         """Encode words that no earlier text had."""
@@ -246,12 +250,12 @@ def _encode(batches: Batches, path: str, text: str, to: str) -> Batches:
     with Encoder(path) as bpe:
         for batch in batches:
             texts = batch.column(batch.schema.get_field_index(text))
-            for start, stop in text_slices(texts, 8 << 20):
-                flat, sizes = bpe.encode(texts.slice(start, stop - start))
-                offsets = np.concatenate((np.zeros(1, np.int64), np.cumsum(sizes))).astype(np.int32)
-                lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
-                part = batch.slice(start, stop - start)
-                yield pa.RecordBatch.from_arrays([*part.columns, lists], names=[*part.schema.names, to])
+            for first, last in text_slices(texts, 8 << 20):
+                for start, stop, flat, sizes in bpe.encode(texts.slice(first, last - first)):
+                    offsets = np.concatenate((np.zeros(1, np.int64), np.cumsum(sizes))).astype(np.int32)
+                    lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
+                    part = batch.slice(first + start, stop - start)
+                    yield pa.RecordBatch.from_arrays([*part.columns, lists], names=[*part.schema.names, to])
 
 
 def _decode(batches: Batches, path: str, ids: str, to: str) -> Batches:
