@@ -124,14 +124,14 @@ def step_minima(steps: Sequence[str] = FUNNEL_STEPS) -> list:
     ]
 
 
-def device_steps(stg_events: DataFrame, steps: Sequence[str] = FUNNEL_STEPS) -> DataFrame:
-    """First step times per user and device, with the number of views.
+def device_steps(stg_events: DataFrame, steps: Sequence[str] = FUNNEL_STEPS, within: Sequence[str] = ()) -> DataFrame:
+    """First step times per user and device (and columns ``within``), with the number of views.
 
     Strings are grouping keys only, so the pass over the events is a hash
     aggregation with map-side combine; everything per user works on its output.
     """
     views = F.count(F.when(F.col("event_type") == steps[0], F.lit(1))).alias("views")
-    return stg_events.groupBy("user_id", "device_type").agg(*step_minima(steps), views)
+    return stg_events.groupBy(*within, "user_id", "device_type").agg(*step_minima(steps), views)
 
 
 def with_step_outcomes(first_steps: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ import datetime as dt
 from collections.abc import Callable
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from basketry.functions import money
 from basketry.functions.labels import DOMAIN_STATUS_LABELS
@@ -535,10 +535,23 @@ def _(t):
     return t.spark.read.parquet(daily).select(*ANALYTICS["agg_daily_revenue"].fieldNames())
 
 
+def _arrivals(t, table: str, start: Callable[[DataFrame], object], key: str, parts: int = 3) -> None:
+    """Deliver a raw table in files that arrive one after the other, each followed by a run of the job.
+
+    Files are dealt by a hash of the key, so all later files bring rows of days that earlier ones had.
+    """
+    lake = t.folder(f"lake-{table}")
+    raw = getattr(star, f"raw_{table}")(t.spark, t.sf_dir).select(*RAW[table].fieldNames())
+    for part in range(parts):
+        arrived = raw.filter(F.pmod(F.xxhash64(key), F.lit(parts)) == part)
+        arrived.write.mode("append").parquet(readers.table_path(lake, table))
+        _finish(start(readers.stream_raw(t.spark, lake, table, "parquet")))
+
+
 @query("stream_daily_revenue")
 def _(t):
     target, checkpoint = t.folder("daily"), t.folder("daily-job")
-    _finish(jobs.publish_daily_revenue(star.stream_orders(t.spark, t.sf_dir), t.users, target, checkpoint))
+    _arrivals(t, "orders", lambda raw: jobs.publish_daily_revenue(raw, t.users, target, checkpoint), "order_id")
     return t.spark.read.parquet(target).select(*ANALYTICS["agg_daily_revenue"].fieldNames())
 
 
@@ -552,17 +565,23 @@ def _(t):
 @query("stream_events_first_arrival")
 def _(t):
     target, checkpoint = t.folder("events"), t.folder("dedupe-job")
-    stream = jobs.first_arrivals(star.stream_events(t.spark, t.sf_dir)).drop("created_at")
-    writer = stream.writeStream.format("parquet").option("checkpointLocation", checkpoint)
-    _finish(writer.trigger(availableNow=True).start(target))
-    return t.spark.read.schema(stream.schema).parquet(target)
+    # Copies of an event arrive in different files, the earlier one first.
+    lake = t.folder("lake-copies")
+    raw = t.raw_events.select(*RAW["events"].fieldNames())
+    firsts = staging.event_copy_order("earliest")
+    numbered = raw.withColumn("copy", F.row_number().over(Window.partitionBy("event_id").orderBy(*firsts)))
+    for part in (1, 2):
+        numbered.filter(F.col("copy") == part).drop("copy").write.mode("append").parquet(readers.table_path(lake, "events"))
+        _finish(jobs.ingest_first_arrivals(readers.stream_raw(t.spark, lake, "events", "parquet"), target, checkpoint))
+    return t.spark.read.parquet(target).select(*STAGING["stg_events"].fieldNames())
 
 
 @query("stream_funnel")
 def _(t):
-    target, checkpoint = t.folder("funnel"), t.folder("funnel-job")
-    _finish(jobs.publish_funnel(star.stream_events(t.spark, t.sf_dir), target, checkpoint))
-    return t.spark.read.parquet(target).select(*ANALYTICS["fct_user_funnel"].fieldNames())
+    events, steps, checkpoint = t.folder("events"), t.folder("steps"), t.folder("funnel-job")
+    # Dealt by creation time: the later copy of an event comes in another file than the first.
+    _arrivals(t, "events", lambda raw: jobs.publish_funnel(raw, events, steps, checkpoint), "created_at")
+    return jobs.stored_funnel(t.spark.read.parquet(steps))
 
 
 @query("warehouse_stored_reports")

@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from basketry.operators.aggregates import agg_daily_revenue
 from basketry.operators.dedupe import first_per_key
 from basketry.operators.staging import event_copy_order
+from basketry.schemas import DOMAINS
 from basketry.sources import paths, writers
 
 _INCOMING, _FOLDER = "_incoming", "_folder"
@@ -50,7 +51,8 @@ def _same_key(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
     return reduce(Column.__and__, (left[k].eqNullSafe(right[k]) for k in keys))
 
 
-def _is_one_of(column: str, values: Sequence) -> Column:
+def is_one_of(column: str, values: Sequence) -> Column:
+    """Whether a column has one of these values, null among them."""
     known = [v for v in values if v is not None]
     matched = F.col(column).isin(known) if known else F.lit(False)
     return matched | F.col(column).isNull() if None in values else matched
@@ -82,7 +84,7 @@ def _rewrite_partitions(
         old = None
         if paths.exists(spark, target):
             stored = spark.read.schema(schema).parquet(target)
-            old = stored.filter(_is_one_of(lead, touched(stored)))
+            old = stored.filter(is_one_of(lead, touched(stored)))
             folder = F.regexp_extract("_metadata.file_path", "^(.*)/[^/]*$", 1).alias(_FOLDER)
             noted = old.select(*dict.fromkeys([*partition_by, *remember]), folder).distinct()
             noted.write.mode("overwrite").parquet(before_path)
@@ -163,26 +165,49 @@ def upsert_orders(
     rows_move: bool = True,
     partition_by: Sequence[str] = writers.ORDER_PARTITIONS,
 ) -> None:
-    """Merge order facts on order id; of several versions in one batch the newest counts."""
+    """Merge order facts on order id; of several versions in one batch one counts.
+
+    That is the one with the newest ``updated_at``, where the fact has such a
+    column, then the newest ``created_at``, then the status furthest in an
+    order's life; the other columns make the order total.
+    """
+    newest = [name for name in ("updated_at", "created_at") if name in fct_orders.columns]
+    life = F.array(*(F.lit(s.upper()) for s in DOMAINS["orders", "status"]))
+    others = [name for name in fct_orders.columns if name not in newest]
     upsert(
         spark, fct_orders, target, ["order_id"], partition_by, run_dir,
-        batch_preference=[F.col("created_at").desc_nulls_last(), F.col("status_raw").asc_nulls_first()],
+        batch_preference=[
+            *(F.col(name).desc_nulls_last() for name in newest),
+            F.array_position(life, F.col("status_raw")).desc_nulls_last(),
+            *(F.col(name).asc_nulls_last() for name in others),
+        ],
         cluster_by=["user_id", "product_id"], remember=["order_date"], rows_move=rows_move,
     )
 
 
+def touched_partitions(spark: SparkSession, schema: T.StructType, run_dir: str, column: str) -> list:
+    """Values of a column in the partitions a finished upsert rewrote, before or after."""
+    found = set(touched_values(spark.read.schema(schema).parquet(f"{run_dir}/merged"), column))
+    if paths.finished(spark, f"{run_dir}/before"):
+        columns = T.StructType([schema[column]])
+        found |= set(touched_values(spark.read.schema(columns).parquet(f"{run_dir}/before"), column))
+    return list(found)
+
+
 def touched_days(spark: SparkSession, fct_schema: T.StructType, run_dir: str) -> list:
     """Order days whose aggregates a finished ``upsert_orders`` run may have changed.
 
     All days found in the rewritten partitions, before or after: a moved order
     may have left one of them without orders.
     """
-    merged = spark.read.schema(fct_schema).parquet(f"{run_dir}/merged")
-    days = set(touched_values(merged, "order_date"))
-    if paths.finished(spark, f"{run_dir}/before"):
-        columns = T.StructType([fct_schema["order_date"]])
-        days |= set(touched_values(spark.read.schema(columns).parquet(f"{run_dir}/before"), "order_date"))
-    return list(days)
+    return touched_partitions(spark, fct_schema, run_dir, "order_date")
+
+
+def replace_partitions(
+    spark: SparkSession, rows: DataFrame, target: str, column: str, values: list, run_dir: str, cluster_by: Sequence[str] = ()
+) -> None:
+    """Put ``rows`` in place of the stored partitions of these values; those without rows go."""
+    _rewrite_partitions(spark, target, rows.schema, [column], run_dir, lambda _: values, lambda _: rows, cluster_by)
 
 
 def upsert_events(
@@ -209,14 +234,14 @@ def refresh_daily_revenue(
     if not order_dates:
         return
     daily = writers.with_revenue_month(
-        agg_daily_revenue(fct_orders.filter(_is_one_of("order_date", order_dates)))
+        agg_daily_revenue(fct_orders.filter(is_one_of("order_date", order_dates)))
     )
     months = list({day and day.replace(day=1) for day in order_dates})
 
     def merge(old: DataFrame | None) -> DataFrame:
         if old is None:
             return daily
-        stale = F.coalesce(_is_one_of("order_date", order_dates), F.lit(False))
+        stale = F.coalesce(is_one_of("order_date", order_dates), F.lit(False))
         return old.filter(~stale).unionByName(daily)
 
     _rewrite_partitions(

@@ -12,20 +12,19 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from basketry.functions.money import as_decimal, as_double
-from basketry.operators.facts import STEP_TIMES, fct_orders, step_minima, with_step_outcomes, with_user
-from basketry.operators.staging import clean_events, stg_orders
+from basketry.operators.aggregates import DAILY_KEYS
+from basketry.operators.dedupe import first_per_key
+from basketry.operators.facts import STEP_TIMES, device_steps, fct_orders, funnel_from_device_steps, with_step_outcomes
+from basketry.operators.staging import clean_events, event_copy_order, stg_orders
 from basketry.schemas import ANALYTICS, FUNNEL_STEPS
 from basketry.sources import paths
 from basketry.sources.writers import ORDER_PARTITIONS, with_revenue_month
 from basketry.streaming import incremental
 
-LATE_BY = "1 hour"
-
-
 def _triggered(writer: DataStreamWriter, every: str | None) -> DataStreamWriter:
     return writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
 
@@ -35,7 +34,6 @@ def _each_batch(
     handle: Callable[[SparkSession, DataFrame, str], None],
     checkpoint: str,
     every: str | None,
-    mode: str = "append",
 ) -> StreamingQuery:
     """Land each batch as files, then handle it as an ordinary table.
 
@@ -56,7 +54,7 @@ def _each_batch(
         # The previous batch is committed once this one runs.
         paths.delete(spark, f"{checkpoint}/runs/{batch_id - 1}")
 
-    writer = stream.writeStream.outputMode(mode).option("checkpointLocation", f"{checkpoint}/state")
+    writer = stream.writeStream.outputMode("append").option("checkpointLocation", f"{checkpoint}/state")
     return _triggered(writer.foreachBatch(run), every).start()
 
 
@@ -103,55 +101,44 @@ def ingest_events(
     return _each_batch(raw_events, handle, checkpoint, every)
 
 
-# Tasks a frequent key is spread over where a stream cannot split it at run time.
-SPREAD = 16
-
+def ingest_first_arrivals(
+    raw_events: DataFrame, target: str, checkpoint: str, late_by: int = 1, every: str | None = None
+) -> StreamingQuery:
+    """Store arriving events, keeping of each event id the copy that arrived first.
 
-def first_arrivals(raw_events: DataFrame, late_by: str = LATE_BY, spread: int = SPREAD) -> DataFrame:
-    """Cleaned event stream, copies that arrive within ``late_by`` dropped.
+    Late events are stored like any other. Copies in one batch are settled by
+    time, earliest first. A stored copy counts when its day is at most
+    ``late_by`` days from those of the batch, or when it has no readable time;
+    other partitions are not read.
+    """
+    def handle(spark: SparkSession, batch: DataFrame, run_dir: str) -> None:
+        single = first_per_key(clean_events(batch), ["event_id"], event_copy_order("earliest"))
+        dated = single.withColumn("event_date", F.to_date("created_at"))
+        if paths.exists(spark, target):
+            near = dated.select(F.explode(F.sequence(
+                F.date_sub("event_date", late_by), F.date_add("event_date", late_by))).alias("day")).distinct()
+            stored = spark.read.schema(dated.schema).parquet(target).select("event_id", "event_date")
+            known = stored.join(near, F.col("event_date") == F.col("day"), "left_semi").unionByName(
+                stored.filter(F.col("event_date").isNull()))
+            dated = dated.join(known, "event_id", "left_anti")
+        incremental.upsert(
+            spark, dated, target, ["event_id"], ["event_date"], run_dir,
+            cluster_by=["event_type", "device_type"], rows_move=False,
+        )
 
-    Keeps the first arrival, with state only for the last ``late_by``; use
-    ``ingest_events`` where the latest copy must win. Events without a readable
-    time carry no event time and pass the watermark untouched.
+    return _each_batch(raw_events, handle, checkpoint, every)
 
-    Copies are dropped in two steps, first among the tasks of equal number
-    modulo ``spread``, so that no task receives all copies of one event.
-    """
-    timed = clean_events(raw_events).withWatermark("created_at", late_by)
-    if spread > 1:
-        group = F.pmod(F.spark_partition_id(), F.lit(spread))
-        timed = timed.withColumn("_group", group).dropDuplicatesWithinWatermark(["event_id", "_group"]).drop("_group")
-    return timed.dropDuplicatesWithinWatermark(["event_id"])
 
+_TOTALS = ("gross_total", "net_total", "priced_orders")
 
-def live_daily_revenue(
-    raw_orders: DataFrame, stg_users: DataFrame, late_by: str = LATE_BY, spread: int = SPREAD
-) -> DataFrame:
-    """Daily revenue as a running aggregation, for update mode.
 
-    Orders later than the watermark are left to the next partition refresh.
-    """
-    orders = stg_orders(raw_orders).withWatermark("created_at", late_by)
-    net = F.col("quantity") * F.col("unit_price") - F.col("discount_amount")
-    gross = F.col("quantity") * F.col("unit_price")
-    sums = with_user(orders, stg_users, spread).groupBy(
-        F.window("created_at", "1 day").alias("day"), "region", "user_plan_type"
-    ).agg(
-        F.count("order_id").alias("order_count"),
-        F.sum(as_decimal(gross)).alias("gross"),
-        F.sum(as_decimal(net)).alias("net"),
-        F.count(net).alias("priced"),
-    )
-    average = F.try_divide(as_double(F.col("net")), F.col("priced").cast("double"))
-    return sums.select(
-        F.to_date("day.start").alias("order_date"),
-        "region",
-        "user_plan_type",
-        "order_count",
-        as_double(F.col("gross")).alias("total_gross_revenue"),
-        as_double(F.col("net")).alias("total_net_revenue"),
-        average.alias("Avg_net_revenue"),
-    )
+def _with_daily_measures(totals: DataFrame) -> DataFrame:
+    net = as_double(F.col("net_total"))
+    return totals.withColumns({
+        "total_gross_revenue": as_double(F.col("gross_total")),
+        "total_net_revenue": net,
+        "Avg_net_revenue": F.try_divide(net, F.col("priced_orders").cast("double")),
+    })
 
 
 def publish_daily_revenue(
@@ -159,62 +146,86 @@ def publish_daily_revenue(
     stg_users: DataFrame,
     target: str,
     checkpoint: str,
-    late_by: str = LATE_BY,
     every: str | None = None,
 ) -> StreamingQuery:
-    """Keep a stored daily revenue table up to date from the order stream."""
+    """Keep a stored daily revenue table up to date from a stream that delivers each order once.
+
+    Beside the columns of ``agg_daily_revenue`` the table holds decimal totals,
+    to which a batch adds its own. No order is too late, undated ones included:
+    nothing waits in a state store, and only the months a batch has orders of
+    are read and rewritten. Where orders come again in new versions, use
+    ``ingest_orders`` with ``daily_target``.
+    """
     def handle(spark: SparkSession, batch: DataFrame, run_dir: str) -> None:
+        facts = fct_orders(stg_orders(batch), stg_users=stg_users)
+        gross, net = F.col("gross_revenue"), F.col("net_revenue")
+        wide = lambda total: total.cast("decimal(38,10)")
+        news = with_revenue_month(facts.groupBy(*DAILY_KEYS).agg(
+            F.count("order_id").alias("order_count"),
+            wide(F.sum(as_decimal(gross))).alias("gross_total"),
+            wide(F.sum(as_decimal(net))).alias("net_total"),
+            F.count(net).alias("priced_orders"),
+        ))
+        added = f"{run_dir}/added"
+        if not paths.finished(spark, added):
+            news.write.mode("overwrite").parquet(added)
+        totals = spark.read.schema(news.schema).parquet(added)
+        if paths.exists(spark, target):
+            months = incremental.touched_values(totals, "revenue_month")
+            stored = spark.read.schema(news.schema).parquet(target).filter(incremental.is_one_of("revenue_month", months))
+            sums = [F.sum("order_count").alias("order_count"), *(F.sum(name).cast(news.schema[name].dataType).alias(name) for name in _TOTALS)]
+            totals = stored.unionByName(totals).groupBy(*DAILY_KEYS, "revenue_month").agg(*sums)
         incremental.upsert(
-            spark, with_revenue_month(batch), target, ["order_date", "region", "user_plan_type"],
-            ["revenue_month"], run_dir, rows_move=False,
+            spark, _with_daily_measures(totals), target, list(DAILY_KEYS), ["revenue_month"], run_dir, rows_move=False,
         )
 
-    changes = live_daily_revenue(raw_orders, stg_users, late_by)
-    return _each_batch(changes, handle, checkpoint, every, "update")
-
-
-FUNNEL_BUCKETS = 64
-
-
-def live_funnel(stg_events: DataFrame, steps: Sequence[str] = FUNNEL_STEPS) -> DataFrame:
-    """First step times per user as a running aggregation, for update mode.
-
-    Spark keeps the minima of each user in its state store and emits the users a
-    batch changed. A repeated event cannot lower a minimum, so no deduplication
-    is needed as long as copies carry the same time.
-    """
-    viewed_on = F.min(F.when(F.col("event_type") == steps[0], F.col("device_type")))
-    first = stg_events.groupBy("user_id").agg(viewed_on.alias("device_type"), *step_minima(steps))
-    return with_step_outcomes(first).select(*ANALYTICS["fct_user_funnel"].fieldNames())
+    return _each_batch(raw_orders, handle, checkpoint, every)
 
 
 def publish_funnel(
     raw_events: DataFrame,
-    target: str,
+    events_target: str,
+    steps_target: str,
     checkpoint: str,
     steps: Sequence[str] = FUNNEL_STEPS,
-    buckets: int = FUNNEL_BUCKETS,
     every: str | None = None,
+    rows_move: bool = True,
 ) -> StreamingQuery:
-    """Keep a stored funnel up to date; its partitions are hash buckets of the user."""
+    """Merge arriving events into the stored staging table and refresh the step times of the days they touched.
+
+    ``stored_funnel`` rolls the step times per day, user and device up when the
+    funnel is read, so a batch rewrites only its own days, and the latest copy
+    of an event counts as in the batch model.
+    """
     def handle(spark: SparkSession, batch: DataFrame, run_dir: str) -> None:
-        bucket = F.pmod(F.xxhash64("user_id"), F.lit(buckets)).cast("int")
-        incremental.upsert(
-            spark, batch.withColumn("user_bucket", bucket), target, ["user_id"],
-            ["user_bucket"], run_dir, rows_move=False,
+        clean = clean_events(batch)
+        incremental.upsert_events(spark, clean, events_target, run_dir, rows_move=rows_move)
+        dated = T.StructType([*clean.schema.fields, T.StructField("event_date", T.DateType())])
+        days = incremental.touched_partitions(spark, dated, run_dir, "event_date")
+        stored = spark.read.schema(dated).parquet(events_target)
+        changed = stored.filter(incremental.is_one_of("event_date", days))
+        incremental.replace_partitions(
+            spark, device_steps(changed, steps, ["event_date"]), steps_target, "event_date", days, f"{run_dir}/steps", ["user_id"],
         )
 
-    return _each_batch(live_funnel(clean_events(raw_events), steps), handle, checkpoint, every, "update")
+    return _each_batch(raw_events, handle, checkpoint, every)
+
+
+def stored_funnel(steps_by_day: DataFrame, device: str = "alphabetical") -> DataFrame:
+    """The funnel out of the table ``publish_funnel`` keeps; minima of minima are minima."""
+    return funnel_from_device_steps(steps_by_day, device)
 
 
 def merge_funnel(stored: DataFrame, new_events: DataFrame, steps: Sequence[str] = FUNNEL_STEPS) -> DataFrame:
     """A stored funnel brought up to date with further events, without a stream.
 
-    Minima of minima are minima, so stored users and new events meet in one
-    aggregation.
+    Stored users and new events meet in one aggregation of rows per user. Step
+    times no longer tell the events they came from, so a later copy of an event
+    already counted can't replace it; where copies come again, use
+    ``publish_funnel``.
     """
-    viewed_on = F.min(F.when(F.col("event_type") == steps[0], F.col("device_type")))
-    news = new_events.groupBy("user_id").agg(viewed_on.alias("device_type"), *step_minima(steps))
+    viewed = F.when(F.col("views") > 0, F.col("device_type")).alias("device_type")
+    news = device_steps(new_events, steps).select("user_id", viewed, *STEP_TIMES)
     both = stored.select("user_id", "device_type", *STEP_TIMES).unionByName(news)
     first = both.groupBy("user_id").agg(
         F.min("device_type").alias("device_type"), *(F.min(name).alias(name) for name in STEP_TIMES)

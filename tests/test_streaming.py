@@ -2,7 +2,7 @@ import pytest
 
 from basketry.operators import aggregates, facts, staging
 from basketry.sources import readers
-from basketry.streaming import jobs
+from basketry.streaming import incremental, jobs
 from tests.conftest import event, order, product, rows, ts, user
 
 
@@ -73,39 +73,43 @@ def test_nothing_new_changes_nothing(spark, make, lake, tmp_path):
 def test_first_arrivals(spark, make, lake, tmp_path):
     target, checkpoint = str(tmp_path / "events"), str(tmp_path / "job")
     late = [event("5", at="2024-06-03 10:00:00")], [event("6", at="2024-06-01 09:00:00"), event("7", at="2024-06-03 10:30:00")]
-    for batch in (*EVENT_DROPS, *late):
+    for batch in (*EVENT_DROPS, *late, [event("1", at="2024-06-02 00:00:01"), event("9", at="2024-06-03 11:00:00")]):
         drop(make, lake, "events", batch)
-        stream = jobs.first_arrivals(readers.stream_raw(spark, lake, "events"))
-        finish(
-            stream.writeStream.format("parquet").option("checkpointLocation", checkpoint)
-            .trigger(availableNow=True).start(target)
-        )
-    got = dict(rows(spark.read.parquet(target), "event_id", "created_at"))
+        finish(jobs.ingest_first_arrivals(readers.stream_raw(spark, lake, "events"), target, checkpoint))
+    stored = rows(spark.read.parquet(target), "event_id", "created_at")
+    got = dict(stored)
+    assert len(stored) == len(got)
+    assert set(got) == {"1", "2", "3", "4", "5", "6", "7", "9"}  # 6 arrived late
     assert got["1"] == ts("2024-06-01 10:00:00")
-    assert "6" not in got  # older than the watermark
-    assert "7" in got
+    assert got["9"] is None  # a copy without a time is found again
 
 
 def test_live_daily_revenue(spark, make, lake, tmp_path):
     users = staging.stg_users(make.users([user("u1")]))
     target, checkpoint = str(tmp_path / "daily"), str(tmp_path / "job")
-    drops = [[order("a"), order("b", discount_amount=None)], [order("c", unit_price=4.5), order("d", user_id="nobody")]]
+    drops = [
+        [order("a"), order("b", discount_amount=None), order("x", day="2024-07-20")],
+        [order("c", unit_price=4.5), order("d", user_id="nobody"), order("e", created_at=None)],
+        [order("f", day="2024-05-02"), order("g", created_at=None, unit_price=0.00003)],
+    ]
     for batch in drops:
         drop(make, lake, "orders", batch)
         finish(jobs.publish_daily_revenue(readers.stream_raw(spark, lake, "orders"), users, target, checkpoint))
     full = aggregates.agg_daily_revenue(
-        facts.fct_orders(staging.stg_orders(make.orders(drops[0] + drops[1])), stg_users=users)
+        facts.fct_orders(staging.stg_orders(make.orders(sum(drops, []))), stg_users=users)
     )
     assert rows(spark.read.parquet(target), *full.columns) == rows(full)
 
 
 def test_live_funnel(spark, make, lake, tmp_path):
-    target, checkpoint = str(tmp_path / "funnel"), str(tmp_path / "job")
-    for batch in EVENT_DROPS:
+    events, steps, checkpoint = (str(tmp_path / n) for n in ("events", "steps", "job"))
+    # The last drop moves a view to the next day, by a later copy.
+    drops = [*EVENT_DROPS, [event("4", "u2", "productview", "2024-05-31 00:00:10", device_type="tablet")]]
+    for batch in drops:
         drop(make, lake, "events", batch)
-        finish(jobs.publish_funnel(readers.stream_raw(spark, lake, "events"), target, checkpoint, buckets=4))
-    full = facts.fct_user_funnel(staging.stg_events(make.events(EVENT_DROPS[0] + EVENT_DROPS[1]), keep="earliest"))
-    assert rows(spark.read.parquet(target), *full.columns) == rows(full)
+        finish(jobs.publish_funnel(readers.stream_raw(spark, lake, "events"), events, steps, checkpoint))
+    full = facts.fct_user_funnel(staging.stg_events(make.events(sum(drops, []))))
+    assert rows(jobs.stored_funnel(spark.read.parquet(steps))) == rows(full)
 
 
 def test_funnel_merge(make):
@@ -113,3 +117,11 @@ def test_funnel_merge(make):
     everything = staging.stg_events(make.events(EVENT_DROPS[0] + EVENT_DROPS[1]), keep="earliest")
     merged = jobs.merge_funnel(facts.fct_user_funnel(first), second)
     assert rows(merged) == rows(facts.fct_user_funnel(everything))
+
+
+def test_order_versions_of_one_batch(spark, make, tmp_path):
+    versions = [order("a", status=s) for s in ("delivered", "confirmed", "pending")] + [order("b", status="shipped"), order("b", day="2024-06-02", status="pending")]
+    target = str(tmp_path / "fct")
+    full = facts.fct_orders(staging.stg_orders(make.orders(versions)))
+    incremental.upsert_orders(spark, full, target, str(tmp_path / "run"))
+    assert rows(spark.read.schema(full.schema).parquet(target), "order_id", "status_raw") == [("a", "DELIVERED"), ("b", "PENDING")]
