@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -18,6 +18,18 @@ from basketry.schemas import FUNNEL_STEPS
 AsOf = dt.date | str | Column | None
 
 
+def _recent(fct_orders: DataFrame, inside: Callable[[Column], Column]) -> DataFrame:
+    """Orders whose day is ``inside`` a trailing window.
+
+    On a fact stored by month the last day of the month must be inside too,
+    which follows for every such order and leaves older partitions unread.
+    """
+    recent = fct_orders.filter(inside(F.col("order_date")))
+    if "order_month_start" in fct_orders.columns:
+        recent = recent.filter(inside(F.last_day("order_month_start")))
+    return recent
+
+
 def monthly_revenue(fct_orders: DataFrame) -> DataFrame:
     """Net revenue per calendar month, labelled yyyy-MM."""
     by_month = fct_orders.groupBy(month_start(F.col("order_date")).alias("month_start"))
@@ -34,9 +46,7 @@ def mom_revenue_growth(
     usually a part month; ``whole_months`` starts it on the first of a month.
     The unpartitioned window sees one row per month.
     """
-    recent = fct_orders.filter(
-        in_last_months(F.col("order_date"), as_of_date(as_of), months, whole_months)
-    )
+    recent = _recent(fct_orders, lambda day: in_last_months(day, as_of_date(as_of), months, whole_months))
     revenue, previous = F.col("total_revenue"), F.col("previous_month_revenue")
     growth = round_half_away(F.try_divide((revenue - previous) * 100.0, previous))
     return (
@@ -111,7 +121,7 @@ def top_products_by_region(
     revenue per region and product, not the orders.
     """
     keys = ["region", "product_id", "product_name", "product_category"]
-    recent = fct_orders.filter(in_last_days(F.col("order_date"), as_of_date(as_of), days))
+    recent = _recent(fct_orders, lambda day: in_last_days(day, as_of_date(as_of), days))
     units = F.sum(as_decimal(F.col("net_revenue"))).alias("units")
     if stg_products is None:
         revenue = recent.groupBy(*keys).agg(units)

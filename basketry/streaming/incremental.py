@@ -233,10 +233,11 @@ def refresh_daily_revenue(
     """
     if not order_dates:
         return
-    daily = writers.with_revenue_month(
-        agg_daily_revenue(fct_orders.filter(is_one_of("order_date", order_dates)))
-    )
     months = list({day and day.replace(day=1) for day in order_dates})
+    changed = fct_orders.filter(is_one_of("order_date", order_dates))
+    if "order_month_start" in fct_orders.columns:  # the monthly layout's partitions
+        changed = changed.filter(is_one_of("order_month_start", months))
+    daily = writers.with_revenue_month(agg_daily_revenue(changed))
 
     def merge(old: DataFrame | None) -> DataFrame:
         if old is None:

@@ -206,3 +206,20 @@ def test_doubled_quotes_and_commas_stay_in_their_column(spark, tmp_path):
     (tmp_path / "products" / "a.csv").write_text(",".join(names) + "\n" + ",".join(values.get(n, "") for n in names) + "\n")
     row = readers.read_products(spark, str(tmp_path)).first()
     assert (row.product_id, row[second]) == ("p1", '24" Monitor, black')
+
+
+def test_plans_of_lazy_and_monthly_reports(spark, make, tmp_path):
+    raw = {
+        "orders": make.orders([order("a", day="2024-06-01"), order("b", day="2022-06-01")]),
+        "users": make.users([user("u1")]), "products": make.products([product("p1")]), "events": make.events([event("1")]),
+    }
+    lazy = warehouse.build_lazy_reports(raw, AS_OF)
+    assert "Join" not in final_plan(lazy["mom_revenue_growth"])
+    for report in ("cohort_retention", "at_risk_customers"):
+        assert final_plan(lazy[report]).count("Join type") == 1, report
+    stored = warehouse.materialize(spark, warehouse.build_staging(raw), str(tmp_path), AS_OF, monthly=True)
+    for report in ("mom_revenue_growth", "top_products_by_region"):
+        pruned = [line for line in final_plan(stored[report]).splitlines() if line.startswith("PartitionFilters") and "order_month_start" in line]
+        assert any(">=" in line for line in pruned), report
+    for report, df in lazy.items():
+        assert rows(stored[report], *df.columns) == rows(df), report
