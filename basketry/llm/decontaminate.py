@@ -1,11 +1,12 @@
 """Benchmark passages in documents, by SimHash of item-sized windows. DataFrame functions only.
 
-Words are runs of letters and digits in lower case. A window has as many words as an item and is laid over a text
-wherever a shingle of the text is one of the item's, at the item's place (elsewhere no shingle is shared at the item's
-distance, and the best-aligned window of a near copy is always among these). Windows and items get a 64-bit SimHash of
-their shingles. The fingerprints are cut into ``RADIUS`` + 1 blocks: two within that Hamming distance agree in one
-block at least, so a join on size, block number and block value finds all of them. Candidates within the radius are
-verified exactly by the weighted Jaccard similarity of their shingles, weights being the numbers of occurrences.
+Words are runs of letters and digits in lower case. A window has as many words as an item. With a similarity of at least
+0.8 it shares 4/9 of both numbers of shingles at least, so windows are laid at every start of a text from which that many
+shingles are an item's, wherever they stand in the item: reordered parts count like others, and no start is left out.
+Windows and items get a 64-bit SimHash of their shingles. The fingerprints are cut into ``RADIUS`` + 1 blocks: two within
+that Hamming distance agree in one block at least, so a join on size, block number and block value finds all of them.
+Candidates within the radius are verified exactly by the weighted Jaccard similarity of their shingles, weights being the
+numbers of occurrences.
 
 Windows with a similarity of 0.8 differ in 10 of 64 bits on average, with a standard deviation under 3; a radius of 24
 is five deviations away.
@@ -65,6 +66,18 @@ def similarity(a: Column, b: Column) -> tuple[Column, Column]:
     return both, F.size(a) + F.size(b) - both
 
 
+def starts(at: Column, span: Column, need: Column, last: Column) -> Column:
+    """Every start from 0 to ``last`` with at least ``need`` of the sorted places ``at`` among the ``span`` places from it on."""
+    def run(i: Column) -> Column:
+        # The starts for which the i-th place is the first inside; so none comes twice.
+        low = F.greatest(F.lit(0), F.get(at, i - 1) + 1, F.get(at, i + need - 1) - span + 1)
+        high = F.least(F.get(at, i), last)
+        return F.when(low <= high, F.sequence(low, high)).otherwise(F.array().cast("array<int>"))
+
+    runs = F.flatten(F.transform(F.sequence(F.lit(0), F.size(at) - need), run))
+    return F.when(F.size(at) >= need, runs).otherwise(F.array().cast("array<int>"))
+
+
 def leaks(documents: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text",
           item: str = "item_id", item_text: str = "text") -> DataFrame:
     """doc_id, item_id, start, n_words, hamming, similarity: every document and item with a window of similarity >= 0.8.
@@ -77,25 +90,29 @@ def leaks(documents: DataFrame, benchmark: DataFrame, key: str = "doc_id", text:
         benchmark.select(F.col(item).alias("item_id"), words(F.col(item_text)).alias("w")).where("size(w) > 0 AND item_id IS NOT NULL")
         .select("item_id", F.size("w").alias("n"), shingles(F.col("w")).alias("grams")).distinct()
         .withColumn("fingerprint", simhash(F.col("grams"))), "items")
-    seeds = stored(items.select(F.least("n", F.lit(SHINGLE)).alias("size"), "n", F.posexplode("grams").alias("place", "gram")).distinct(), "seeds")
-    texts = documents.select(F.col(key).alias("doc_id"), words(F.col(text)).alias("w")).where("doc_id IS NOT NULL")
+    seeds = stored(items.select(F.least("n", F.lit(SHINGLE)).alias("size"), "n", F.explode("grams").alias("gram")).distinct(), "seeds")
+    # Rows of one id may have different texts, so the digest of the text tells them apart.
+    rows = documents.select(F.col(key).alias("doc_id"), F.col(text).alias("text"), F.xxhash64(F.col(text)).alias("digest")).where("doc_id IS NOT NULL")
+    texts = rows.select("doc_id", "digest", words(F.col("text")).alias("w"))
 
     hits = None
     for size in sorted(r["size"] for r in seeds.select("size").distinct().collect()):
-        spots = texts.select("doc_id", F.size("w").alias("length"), F.posexplode(grams(F.col("w"), size)).alias("at", "gram"))
-        found = spots.join(seeds.where(F.col("size") == size).drop("size"), "gram")
+        spots = texts.select("doc_id", "digest", F.size("w").alias("length"), F.posexplode(grams(F.col("w"), size)).alias("at", "gram"))
+        found = spots.join(seeds.where(F.col("size") == size), "gram")
         hits = found if hits is None else hits.unionByName(found)
     if hits is None:
-        hits = texts.select("doc_id", F.lit(0).alias("length"), F.lit(0).alias("at"), F.lit(0).alias("n"), F.lit(0).alias("place")).limit(0)
-    start = F.greatest(F.lit(0), F.least(F.col("at") - F.col("place"), F.col("length") - F.col("n")))
-    places = stored(hits.select("doc_id", F.struct(start.alias("start"), "n").alias("place")).groupBy("doc_id").agg(
-        F.collect_set("place").alias("places")), "places")
+        hits = texts.select("doc_id", "digest", *(F.lit(0).alias(c) for c in ("length", "at", "gram", "size", "n"))).limit(0)
+    span = F.least("n", "length") - F.col("size") + 1
+    need = F.ceil((F.col("n") - F.col("size") + 1 + span) * 4 / 9).cast("int")
+    places = stored(
+        hits.groupBy("doc_id", "digest", "length", "size", "n").agg(F.sort_array(F.collect_set("at")).alias("at")).where(F.size("at") >= need)
+        .select("doc_id", "digest", "n", starts(F.col("at"), span, need, F.greatest(F.lit(0), F.col("length") - F.col("n"))).alias("starts"))
+        .where("size(starts) > 0"), "places")
 
     windows = stored(
-        documents.select(F.col(key).alias("doc_id"), F.col(text).alias("text")).join(places, "doc_id")
-        .select("doc_id", words(F.col("text")).alias("w"), "places")
-        .select("doc_id", F.explode(F.transform("places", lambda p: F.struct(
-            p["start"].alias("start"), p["n"].alias("n"), shingles(F.slice("w", p["start"] + 1, p["n"])).alias("grams")))).alias("x"))
+        rows.join(places, ["doc_id", "digest"]).select("doc_id", words(F.col("text")).alias("w"), "n", "starts")
+        .select("doc_id", F.explode(F.transform("starts", lambda s: F.struct(
+            s.alias("start"), F.col("n"), shingles(F.slice("w", s + 1, F.col("n"))).alias("grams")))).alias("x"))
         .select("doc_id", "x.*").distinct()
         .select("*", simhash(F.col("grams")).alias("fingerprint"), F.monotonically_increasing_id().alias("window")), "windows")
 

@@ -2,8 +2,11 @@
 
 import base64
 import hashlib
+import itertools
 import random
+import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -275,6 +278,38 @@ def test_decontamination_finds_exact_and_edited_items_only(spark):
     assert decontaminate.leaks(documents(spark, held).limit(0), bench).count() == 0
 
 
+def windows_alike(texts, items):
+    """Per text and item the start and similarity of the best window, by brute force over all windows."""
+    def split(text):
+        return re.findall("[a-z0-9]+", (text or "").lower())
+
+    def bag(words):
+        return Counter(tuple(words[i:i + 5]) for i in range(max(1, len(words) - 4)))
+
+    best = {}
+    for (d, text), (i, item) in itertools.product(enumerate(texts), enumerate(items)):
+        words, own = split(text), split(item)
+        for start in range(max(0, len(words) - len(own)) + 1) if words and own else ():
+            a, b = bag(words[start:start + len(own)]), bag(own)
+            both, union = (a & b).total(), (a | b).total()
+            if 100 * both >= 80 * union and both / union > best.get((d, i), (0, 0))[1]:
+                best[d, i] = (start, both / union)
+    return best
+
+
+def test_decontamination_equals_brute_force_over_all_windows(spark):
+    r = random.Random(31)
+    items = [prose(60, r), prose(24, r), " ".join(["same"] * 20), "two words", None, prose(9, r), "a b a b a b a b a b a b"]
+    a, b = items[0].split()[:20], items[0].split()[20:]
+    turned = " ".join(b + a)
+    held = [prose(70, r) + f" {turned} " + prose(50, r), turned, prose(30, r) + " " + " ".join(b + a[:-3]), f"{items[0]} {turned}"]
+    held += [prose(r.randint(0, 30), r) + " " + edited(items[k], r.randint(0, 2), r) + " " + prose(r.randint(0, 30), r) for k in (0, 1, 5) for _ in range(12)]
+    held += [" ".join(items[0].split()[:56]), " ".join(items[1].split()[3:]), " ".join(["same"] * 90), "b a " * 15, "say two words, two words", None, "", "w"]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    got = {(x.doc_id, x.item_id): (x.start, x.similarity) for x in decontaminate.leaks(documents(spark, held), bench).collect()}
+    assert got == windows_alike(held, items) and {(0, 0), (1, 0), (3, 0)} <= set(got)
+
+
 def test_hamming_blocks_meet_within_the_radius(spark):
     r = random.Random(2)
     pairs = []
