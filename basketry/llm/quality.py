@@ -9,6 +9,11 @@ rows of a key. The result, a table (gram, log_p, back_off) per order, is stored
 Scoring cuts texts into slices, looks the different grams of a slice up shard by shard (longest order first, with
 back-off for unseen ones) and sums per document. A shard has at most ``SHARD_ROWS`` rows, and a worker holds one
 shard and one slice at a time beyond the ``KEPT`` shards it remembers, so memory is bounded whatever the corpus.
+
+Texts are dealt to two folds by their hash, and each is scored by the model of the other fold's trusted texts, so no text
+is judged by a model that has seen it or an exact copy. The limits are quantiles of the trusted texts' scores made that
+way. Text of repeated words is no less probable than other text to a model with so short a context; it is told by its
+variety, the least share of different grams in a block of ``BLOCK`` places, which has a lower quantile as its limit.
 """
 
 from __future__ import annotations
@@ -33,7 +38,8 @@ SHARD_ROWS = 1_000_000
 KEPT = 6
 FLUSH = 4 << 20
 QUANTILE = 0.99
-SLACK = 1.3
+BLOCK = 256
+FOLDS = 2
 
 
 class Model(NamedTuple):
@@ -195,15 +201,25 @@ def log_probabilities(model: Model, grams: np.ndarray) -> np.ndarray:
     return out
 
 
-def perplexity(df: DataFrame, model: Model, text: str = "text", to: str = "perplexity") -> DataFrame:
-    """``df`` with the perplexity per byte of ``text``; null for null and empty texts and without trusted text.
+def varieties(grams: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Per text the least share of different grams in its blocks of ``BLOCK`` places; what is left over at its end counts with
+    the block before as one longer block. ``grams`` are numbers from 0, one per place; a text without any has 1."""
+    blocks = np.maximum(sizes // BLOCK, 1)
+    first = np.cumsum(blocks) - blocks
+    place = np.arange(len(grams)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    block = np.repeat(first, sizes) + np.minimum(place // BLOCK, np.repeat(blocks - 1, sizes))
+    length = np.bincount(block, minlength=int(blocks.sum()))
+    different = np.bincount(np.unique(block << 32 | grams) >> 32, minlength=len(length))
+    shares = np.where(length > 0, different / np.maximum(length, 1), 1.0)
+    return np.minimum.reduceat(shares, first) if len(sizes) else np.empty(0)
 
-    Whole texts are scored; repeated rows get equal values, an empty table stays empty, a column ``to`` is replaced.
-    """
-    @F.pandas_udf("double")
-    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+
+def scores(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
+    """``df`` with perplexity, as ``perplexity`` gives it, and variety (null where the perplexity is)."""
+    @F.pandas_udf("perplexity double, variety double")
+    def score(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            out = np.full(len(batch), np.nan)
+            out, variety = np.full(len(batch), np.nan), np.full(len(batch), np.nan)
             if model.folders:
                 texts = pa.array(batch.astype(object).where(batch.notna(), None), pa.large_string()).cast(pa.large_binary())
                 for start, part in _slices(texts):
@@ -212,32 +228,55 @@ def perplexity(df: DataFrame, model: Model, text: str = "text", to: str = "perpl
                     logs = log_probabilities(model, grams)[back]
                     sums = np.diff(np.concatenate(([0.0], np.cumsum(logs)))[np.concatenate(([0], np.cumsum(sizes)))])
                     out[start:start + len(part)] = np.where(sizes > 0, np.exp(-sums / np.maximum(sizes, 1)), np.nan)
-            yield pd.Series([None if np.isnan(x) else float(x) for x in out], dtype=object)
+                    variety[start:start + len(part)] = np.where(sizes > 0, varieties(back, sizes), np.nan)
+            yield pd.DataFrame({name: pd.Series([None if np.isnan(x) else float(x) for x in column], dtype=object)
+                                for name, column in (("perplexity", out), ("variety", variety))})
+
+    rest = without(df, "perplexity", "variety")
+    return rest.withColumn("_score", score(F.col(text))).select(*(F.col(f"`{c}`") for c in rest.columns), "_score.*")
 
-    return without(df, to).withColumn(to, score(F.col(text)))
+
+def perplexity(df: DataFrame, model: Model, text: str = "text", to: str = "perplexity") -> DataFrame:
+    """``df`` with the perplexity per byte of ``text``; null for null and empty texts and without trusted text.
+
+    Whole texts are scored; repeated rows get equal values, an empty table stays empty, a column ``to`` is replaced.
+    """
+    rest = without(df, to)
+    found = scores(rest.select(F.struct(*(F.col(f"`{c}`") for c in rest.columns)).alias("_row"), F.col(text)), model, text)
+    return found.select("_row.*", F.col("perplexity").alias(to))
 
 
 def thresholds(scored: DataFrame, trusted: DataFrame, lang: str = "lang", key: str = "doc_id", quantile: float = QUANTILE) -> DataFrame:
-    """lang, limit: the ``quantile`` of the perplexities of trusted documents of each language, times ``SLACK``."""
+    """lang, limit, least_variety: of the trusted documents of each language, the ``quantile`` of the perplexities and the
+    variety that as few fall below as exceed the limit."""
     own = scored.join(trusted.select(F.col(key)).distinct(), key, "left_semi")
     return own.groupBy(F.coalesce(F.col(lang), F.lit("und")).alias("lang")).agg(
-        (F.percentile_approx("perplexity", quantile, 10_000) * SLACK).alias("limit"))
+        F.percentile_approx("perplexity", quantile, 10_000).alias("limit"),
+        F.percentile_approx("variety", 1 - quantile, 10_000).alias("least_variety"))
 
 
 def classify(df: DataFrame, trusted: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id",
              quantile: float = QUANTILE) -> DataFrame:
-    """``df`` with perplexity, limit (of the document's language) and good.
+    """``df`` with perplexity, variety, limit and least_variety (of the document's language) and good.
 
-    ``trusted`` holds ids of ``df``. A language without trusted documents takes the highest limit of all; a null language counts as one of its
-    own. good is true if the perplexity is at most the limit, false if it is higher or the text is null or empty; without any trusted
-    text nothing is judged and all of them are null.
+    ``trusted`` holds ids of ``df``. A language without trusted documents takes the widest limits of all; a null language counts as one of its
+    own. good is true if the perplexity is at most the limit and the variety at least the least one, false if not or if the text is null or
+    empty; without any trusted text nothing is judged and all of them are null. If all trusted texts fall into one fold, their
+    one model scores all documents.
     """
-    df = without(df, "perplexity", "limit", "good")
+    df = without(df, "perplexity", "variety", "limit", "least_variety", "good")
+    fold = F.pmod(F.xxhash64(F.col(text)), F.lit(FOLDS))
     # Never broadcast: the ids grow with the labels, and the join should run alike at every size.
-    model = train(df.select(key, text).join(trusted.select(key).distinct().hint("merge"), key, "left_semi"), text)
-    scored = stored(perplexity(df.select(key, lang, text), model, text).drop(text), "perplexities")
+    ids = trusted.select(key).distinct().hint("merge")
+    models = [train(df.select(key, text).where(fold != k).join(ids, key, "left_semi"), text) for k in range(FOLDS)]
+    models = [m if m.folders else next((o for o in models if o.folders), m) for m in models]
+    parts = [scores(df.select(key, lang, text).where(fold == k), m, text).drop(text) for k, m in enumerate(models)]
+    scored = stored(functools.reduce(DataFrame.unionByName, parts), "perplexities")
     limits = stored(thresholds(scored, trusted, lang, key, quantile), "limits")
-    highest = limits.agg(F.max("limit")).first()[0]
+    highest, least = limits.agg(F.max("limit"), F.min("least_variety")).first()
     judged = scored.select("*", F.coalesce(F.col(lang), F.lit("und")).alias("_lang")).join(
-        limits.withColumnRenamed("lang", "_lang"), "_lang", "left").withColumn("limit", F.coalesce("limit", F.lit(highest).cast("double")))
-    return judged.drop("_lang").withColumn("good", F.when(F.col("limit").isNotNull(), F.coalesce(F.col("perplexity") <= F.col("limit"), F.lit(False))))
+        limits.withColumnRenamed("lang", "_lang"), "_lang", "left").withColumns({
+            "limit": F.coalesce("limit", F.lit(highest).cast("double")),
+            "least_variety": F.coalesce("least_variety", F.lit(least).cast("double"))})
+    fits = (F.col("perplexity") <= F.col("limit")) & (F.col("variety") >= F.col("least_variety"))
+    return judged.drop("_lang").withColumn("good", F.when(F.col("limit").isNotNull(), F.coalesce(fits, F.lit(False))))

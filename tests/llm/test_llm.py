@@ -185,6 +185,21 @@ def test_kneser_ney_probabilities_sum_to_one_and_order_texts(spark):
     assert len(none) == 4 and all(r.good is None for r in none)
 
 
+def test_quality_limits_come_from_texts_the_model_has_not_seen_and_repetition_is_seen(spark):
+    r = random.Random(41)
+    good = [prose(r.randint(40, 120), r) for _ in range(300)]
+    odd = "".join(r.choice("ZQ#%&9") for _ in range(400))
+    new = [prose(r.randint(40, 120), r) for _ in range(60)]
+    same = [" ".join([w] * 90) for w in VOCABULARY[:10]] + [prose(80, r) + " " + " ".join([w] * 90) for w in VOCABULARY[:10]]
+    all_ = documents(spark, [*good, odd, odd, *new, *same])
+    got = {x.doc_id: x for x in quality.classify(all_, all_.where(f"doc_id <= {len(good)}")).collect()}
+    seen = sorted(got[i].perplexity for i in range(len(good)))
+    assert min(got[len(good)].perplexity, got[len(good) + 1].perplexity) > 5 * seen[-1] and not got[len(good)].good
+    first = len(good) + 2
+    assert sum(got[i].good for i in range(first, first + len(new))) >= 0.9 * len(new)
+    assert not any(got[i].good for i in range(first + len(new), first + len(new) + len(same)))
+
+
 def test_html_extraction(spark):
     inside = "<article><h1>T &amp; t</h1><p>one\n two<br>three <b>bo</b>ld<p>" + "four " * 30 + "<ul><li>l1<li>l2</ul></article>"
     want = "T & t one two three bold " + " ".join(["four"] * 30) + " l1 l2"
