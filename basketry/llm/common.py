@@ -134,10 +134,15 @@ def word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     if len(starts) > len(ends):
         ends = np.append(ends, len(data))
     low = np.where((data >= 0x41) & (data <= 0x5A), data | 0x20, data)
+    return run_hashes(low, starts, ends), starts
+
+
+def run_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hash of every given range of bytes."""
     with np.errstate(over="ignore"):
-        total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(_BYTE[low] * _powers(_STEP, len(low)))))
-        spans = (total[ends] - total[starts]) * _powers(_INVERSE, len(low) + 1)[starts]
-        return mix(spans + (ends - starts).astype(np.uint64) * _PLACES[0]), starts
+        total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(_BYTE[data] * _powers(_STEP, len(data)))))
+        spans = (total[ends] - total[starts]) * _powers(_INVERSE, len(data) + 1)[starts]
+        return mix(spans + (ends - starts).astype(np.uint64) * _PLACES[0])
 
 
 def shingle_sets(texts: pa.Array, size: int = 5) -> Iterator[tuple[int, np.ndarray]]:

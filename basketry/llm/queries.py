@@ -7,7 +7,8 @@ import functools
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm import byte_bpe, decontaminate, html_extract, language_id, ngram_join, quality, substring_dedup, token_counts, voronoi_knn, warc
+from basketry.llm import (byte_bpe, decontaminate, fill_in_middle, html_extract, language_id, lexical_search, ngram_join, quality,
+                          substring_dedup, token_counts, token_files, voronoi_knn, warc)
 from basketry.llm.common import ship, table
 
 
@@ -61,6 +62,18 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_in_middle.digests(fill_in_middle.transform(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.checksums(token_files.write(table(spark, sf_dir, "documents")))
+
+
 def _shipped(query):
     @functools.wraps(query)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,7 +85,7 @@ def _shipped(query):
 
 QUERIES = {q.__name__: _shipped(q) for q in (
     op1_ngram_jaccard, op2_warc, op3_language_id, op4_quality_classifier, op5_html_extraction, op6_substring_dedup, op7_top_k_search,
-    op8_byte_bpe, op9_token_counts, op10_decontamination,
+    op8_byte_bpe, op9_token_counts, op10_decontamination, op11_fill_in_middle, op12_lexical_search, op13_token_files,
 )}
 
 # Words and 5-word shingle sets of op1, op6: lower-cased A-Z, words between 0x20 and 0x09 to 0x0D.
@@ -166,5 +179,55 @@ WITH part AS (
         '&lt;?', '<', 'g'), '&gt;?', '>', 'g'), '&quot;?', '"', 'g'), '&#39;', chr(39)), '&amp;?', '&', 'g'), '\\s+', ' ', 'g')) AS text FROM plain
 )
 SELECT page_id, url, text, length(text) AS n_chars FROM decoded
+""",
+    "op11_fill_in_middle": r"""
+WITH drawn AS (
+    SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u,
+           sha256('1:' || doc_id::VARCHAR) AS h
+    FROM documents
+), numbers AS (
+    SELECT doc_id, t, u, len(u) AS n, ('0x' || h[1:8])::BIGINT AS h1, ('0x' || h[9:16])::BIGINT AS h2,
+           ('0x' || h[17:24])::BIGINT AS h3, ('0x' || h[25:32])::BIGINT AS h4
+    FROM drawn
+), formed AS (
+    SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+           CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+                WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+    FROM numbers
+), cut AS (
+    SELECT *, array_to_string(u[1:a], '') AS p, array_to_string(u[a + 1:b], '') AS m, array_to_string(u[b + 1:], '') AS s FROM formed
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+              ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM cut
+""",
+    "op12_lexical_search": r"""
+WITH word AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w
+    FROM documents
+), total AS (
+    SELECT count(*) AS n_docs, sum(len(w))::BIGINT AS length FROM word WHERE len(w) > 0
+), document AS (
+    SELECT doc_id, w, 10 + (90 * len(w) * n_docs) // length AS m FROM word, total WHERE len(w) > 0
+), term AS (
+    SELECT doc_id, m, unnest(w) AS term FROM document
+), posting AS (
+    SELECT doc_id, term, any_value(m) AS m, count(*) AS tf FROM term GROUP BY ALL
+), weight AS (
+    SELECT term, floor(1000 * ln((2 * any_value(n_docs) + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM posting, total GROUP BY term
+), asked AS (
+    SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM benchmark
+), scored AS (
+    SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+    FROM asked JOIN weight USING (term) JOIN posting USING (term) GROUP BY item_id, doc_id
+)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score
+FROM scored WHERE score > 0 QUALIFY rank <= 10
 """,
 }
