@@ -5,7 +5,7 @@ ascending doc_id order. A file is::
 
     magic, blocks, block table, document table, footer
 
-A block holds ``BLOCK`` ids (the last one fewer) as little-endian 64-bit words, then its escapes. The block table has
+A block holds ``BLOCK`` ids (the last one of a file fewer) as little-endian 64-bit words, then its escapes. The block table has
 offset, words, escapes and ids of every block, the document table doc_id, whether there is one, and the number of ids;
 the footer says how many rows both have and where they start. Any block can be unpacked alone and at once.
 
@@ -41,26 +41,26 @@ LIST = "part int, number int, file string, n_docs long, n_ids long"
 class Writer:
     """One file; ids and documents are added in order."""
 
-    def __init__(self, folder: str):
+    def __init__(self, folder: str, block: int = BLOCK):
         system, at = FileSystem.from_uri(folder)
         system.create_dir(at, recursive=True)
         name = f"{uuid.uuid4().hex}.ids"
         self.file, self.out = f"{folder}/{name}", system.open_output_stream(f"{at}/{name}", compression=None)
         self.out.write(MAGIC)
         self.size, self.blocks, self.documents = len(MAGIC), [], []
-        self.waiting, self.n_waiting, self.n_ids = [], 0, 0
+        self.block, self.waiting, self.n_waiting, self.n_ids = block, [], 0, 0
 
     def add(self, ids: np.ndarray) -> None:
         self.waiting.append(ids)
         self.n_waiting += len(ids)
-        if self.n_waiting >= BLOCK:
+        if self.n_waiting >= self.block:
             both = np.concatenate(self.waiting)
-            whole = len(both) - len(both) % BLOCK
-            for start in range(0, whole, BLOCK):
-                self._block(both[start:start + BLOCK])
+            whole = len(both) - len(both) % self.block
+            for start in range(0, whole, self.block):
+                self._write(both[start:start + self.block])
             self.waiting, self.n_waiting = [both[whole:]], len(both) - whole
 
-    def _block(self, ids: np.ndarray) -> None:
+    def _write(self, ids: np.ndarray) -> None:
         words, escapes = simple8b.pack(ids)
         self.blocks.append((self.size, len(words), len(escapes), len(ids)))
         for part in (words, escapes):
@@ -71,7 +71,7 @@ class Writer:
     def close(self) -> tuple[str, int, int]:
         """(file, documents, ids)"""
         if self.n_waiting:
-            self._block(np.concatenate(self.waiting))
+            self._write(np.concatenate(self.waiting))
         self.out.write(np.array(self.blocks, "<i8").tobytes())
         self.out.write(np.array(self.documents, "<i8").tobytes())
         self.out.write(np.array([self.size, len(self.blocks), len(self.documents), self.n_ids], "<i8").tobytes() + MAGIC)
@@ -113,10 +113,11 @@ class Reader:
 
 
 def write(documents: DataFrame, folder: str | None = None, key: str = "doc_id", text: str = "text",
-          end_id: int = END_ID, tokenizer: str | None = None) -> DataFrame:
+          end_id: int = END_ID, tokenizer: str | None = None, block: int = BLOCK, file_bytes: int = FILE_BYTES) -> DataFrame:
     """Write the ids of every whole text, ``end_id`` after each, and return the stored list of files.
 
-    ``folder`` is a URI or path that all executors can write, ``tokenizer`` a file that all can read. A null or empty
+    ``folder`` is a URI or path that all executors can write, ``tokenizer`` a file that all can read. A file ends with the
+    first megabyte of texts that takes it over ``file_bytes``. A null or empty
     text has the end id alone. Null doc_ids come first; repeated ones are all kept, ordered by a hash of their text,
     then by their place in the input, so that a hot one is split over tasks. An empty table writes no file.
     """
@@ -135,10 +136,10 @@ def write(documents: DataFrame, folder: str | None = None, key: str = "doc_id",
             ids = batch.column(0).fill_null(0).to_numpy()
             known = batch.column(0).is_valid().to_numpy(zero_copy_only=False)
             for start, stop, flat, sizes in encoder.encode(batch.column(1)):
-                if out is not None and (out.size > FILE_BYTES or len(out.documents) > FILE_DOCUMENTS):
+                if out is not None and (out.size > file_bytes or len(out.documents) > FILE_DOCUMENTS):
                     done.append(out.close())
                     out = None
-                out = out or Writer(folder)
+                out = out or Writer(folder, block)
                 ends = np.cumsum(sizes)
                 out.add(np.insert(flat, ends, end_id))
                 out.documents += zip(ids[start:stop].tolist(), known[start:stop].tolist(), (sizes + 1).tolist())

@@ -185,13 +185,11 @@ def test_word_bpe_equals_the_library():
             assert [flat[e - s:e].tolist() for s, e in zip(sizes, ends)] == wanted[start:stop]
 
 
-def test_token_files_hold_the_ids_in_order(spark, monkeypatch):
-    monkeypatch.setattr(token_files, "BLOCK", 500)
-    monkeypatch.setattr(token_files, "FILE_BYTES", 2000)
-    texts = ODD + [prose(rng.choice([0, 1, 5, 40, 900])) for _ in range(200)] + ["same row"] * 300
-    ids = [*rng.sample(range(-500, 5000), len(texts) - 303), *[7] * 301, None, None]
+def test_token_files_hold_the_ids_in_order(spark):
+    texts = ODD + [prose(rng.choice([0, 1, 5, 40, 900])) for _ in range(200)] + ["same row"] * 300 + ["long text " * 120_000] * 6
+    ids = [*rng.sample(range(-500, 5000), len(texts) - 309), *[7] * 301, None, None, *range(9000, 9006)]
     docs = table(spark, texts, ids).repartition(5)
-    files = token_files.write(docs)
+    files = token_files.write(docs, block=500, file_bytes=2000)
     wanted = Counter()
     for i, e in zip(ids, library().encode_batch([t or "" for t in texts], add_special_tokens=False)):
         wanted[i, (*e.ids, 1)] += 1
