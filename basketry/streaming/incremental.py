@@ -11,7 +11,6 @@ one while a run publishes.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -20,6 +19,7 @@ from basketry.operators.dedupe import first_per_key
 from basketry.operators.staging import event_copy_order
 from basketry.schemas import DOMAINS
 from basketry.sources import paths, writers
+from basketry.streaming.directory import KeyDirectory, same_key
 
 _INCOMING, _FOLDER = "_incoming", "_folder"
 
@@ -47,10 +47,6 @@ def high_water_mark(df: DataFrame, column: str = "created_at") -> DataFrame:
     return df.agg(F.max(column).alias("high_water_mark"))
 
 
-def _same_key(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    return reduce(Column.__and__, (left[k].eqNullSafe(right[k]) for k in keys))
-
-
 def is_one_of(column: str, values: Sequence) -> Column:
     """Whether a column has one of these values, null among them."""
     known = [v for v in values if v is not None]
@@ -73,10 +69,12 @@ def _rewrite_partitions(
     merge: Callable[[DataFrame | None], DataFrame],
     cluster_by: Sequence[str] = (),
     remember: Sequence[str] = (),
+    announce: Callable[[], None] | None = None,
 ) -> None:
     """Replace the partitions whose first column is ``touched`` by what ``merge`` makes of their rows.
 
-    The run folder keeps the replaced partitions' folders and distinct ``remember`` values.
+    The run folder keeps the replaced partitions' folders and distinct ``remember`` values. ``announce`` is called
+    once the merged rows are complete, before any of them is published.
     """
     lead = partition_by[0]
     merged_path, before_path = f"{run_dir}/merged", f"{run_dir}/before"
@@ -91,17 +89,27 @@ def _rewrite_partitions(
         # Unpartitioned: here the partition columns stay inside the files.
         merge(old).select(*schema.fieldNames()).write.mode("overwrite").parquet(merged_path)
 
+    if announce:
+        announce()
     merged = spark.read.schema(schema).parquet(merged_path)
     writers.write_table(merged, target, partition_by, cluster_by, only_written_partitions=True)
     if paths.finished(spark, before_path):
         columns = T.StructType([schema[c] for c in partition_by]).add(_FOLDER, T.StringType())
         before = spark.read.schema(columns).parquet(before_path)
         kept = merged.select(*partition_by).distinct()
-        emptied = before.join(kept, _same_key(before, kept, partition_by), "left_anti")
+        emptied = before.join(kept, same_key(before, kept, partition_by), "left_anti")
         for folder in touched_values(emptied, _FOLDER):
             paths.delete_folder_of_rows(spark, folder)
 
 
+def key_directory(spark: SparkSession, target: str, keys: Sequence[str], lead: str, schema: T.StructType) -> KeyDirectory:
+    """The directory beside a table. A table that has none yet gets it, from one read of its keys."""
+    directory = KeyDirectory(spark, f"{target.rstrip('/')}_keys", keys, lead, schema)
+    if not directory.exists and paths.exists(spark, target):
+        directory.add(spark.read.schema(schema).parquet(target))
+    return directory
+
+
 def upsert(
     spark: SparkSession,
     incoming: DataFrame,
@@ -114,6 +122,7 @@ def upsert(
     cluster_by: Sequence[str] = (),
     remember: Sequence[str] = (),
     rows_move: bool = True,
+    directory: KeyDirectory | None = None,
 ) -> None:
     """Insert new keys, replace known ones.
 
@@ -121,9 +130,10 @@ def upsert(
     rows replace stored ones, and ``batch_preference`` only settles which of
     several copies in the batch counts. ``run_dir`` belongs to this one run and
     makes it repeatable. With ``rows_move`` a row may come back under another
-    partition than it is stored in, which takes a look at the key column of the
-    whole table; say ``False`` where partitions follow from the key or never
-    change.
+    partition than it is stored in: the key directory beside the table tells
+    which, and the table itself is only read there. Say ``False`` where
+    partitions follow from the key or never change. A ``directory`` of the
+    caller notes the batch's keys in either case.
     """
     lead, batch_path = partition_by[0], f"{run_dir}/incoming"
     if not paths.finished(spark, batch_path):
@@ -131,12 +141,13 @@ def upsert(
         single = first_per_key(incoming, keys, order) if order else incoming
         single.write.mode("overwrite").parquet(batch_path)
     batch = spark.read.schema(incoming.schema).parquet(batch_path)
+    if rows_move and directory is None:
+        directory = key_directory(spark, target, keys, lead, incoming.schema)
 
     def touched(stored: DataFrame) -> list:
         places = batch.select(lead)
         if rows_move:
-            met = stored.join(batch.select(*keys), _same_key(stored, batch, keys), "left_semi")
-            places = places.union(met.select(lead))
+            places = places.union(directory.find(batch, f"{run_dir}/known").select("place"))
         return touched_values(places, lead)
 
     def merge(old: DataFrame | None) -> DataFrame:
@@ -144,16 +155,17 @@ def upsert(
             return batch
         # Only rows whose key is in the batch compete; all others pass through
         # without a shuffle while the batch is small.
-        rest = old.join(batch, _same_key(old, batch, keys), "left_anti")
+        rest = old.join(batch, same_key(old, batch, keys), "left_anti")
         if not preference:
             return rest.unionByName(batch)
-        rivals = old.join(batch, _same_key(old, batch, keys), "left_semi")
+        rivals = old.join(batch, same_key(old, batch, keys), "left_semi")
         contest = rivals.withColumn(_INCOMING, F.lit(0)).unionByName(batch.withColumn(_INCOMING, F.lit(1)))
         best = [*preference, F.col(_INCOMING).desc()]
         return rest.unionByName(first_per_key(contest, keys, best).drop(_INCOMING))
 
     _rewrite_partitions(
-        spark, target, incoming.schema, partition_by, run_dir, touched, merge, cluster_by, remember
+        spark, target, incoming.schema, partition_by, run_dir, touched, merge, cluster_by, remember,
+        (lambda: directory.add(batch)) if directory else None,
     )
 
 

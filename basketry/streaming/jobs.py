@@ -102,28 +102,25 @@ def ingest_events(
 
 
 def ingest_first_arrivals(
-    raw_events: DataFrame, target: str, checkpoint: str, late_by: int = 1, every: str | None = None
+    raw_events: DataFrame, target: str, checkpoint: str, every: str | None = None
 ) -> StreamingQuery:
     """Store arriving events, keeping of each event id the copy that arrived first.
 
-    Late events are stored like any other. Copies in one batch are settled by
-    time, earliest first. A stored copy counts when its day is at most
-    ``late_by`` days from those of the batch, or when it has no readable time;
-    other partitions are not read.
+    Copies in one batch are settled by time, earliest first. Whether an id was
+    stored before, and however long ago, the key directory beside the table
+    says; late and undated copies are told like others, and no state grows.
     """
     def handle(spark: SparkSession, batch: DataFrame, run_dir: str) -> None:
         single = first_per_key(clean_events(batch), ["event_id"], event_copy_order("earliest"))
         dated = single.withColumn("event_date", F.to_date("created_at"))
-        if paths.exists(spark, target):
-            near = dated.select(F.explode(F.sequence(
-                F.date_sub("event_date", late_by), F.date_add("event_date", late_by))).alias("day")).distinct()
-            stored = spark.read.schema(dated.schema).parquet(target).select("event_id", "event_date")
-            known = stored.join(near, F.col("event_date") == F.col("day"), "left_semi").unionByName(
-                stored.filter(F.col("event_date").isNull()))
-            dated = dated.join(known, "event_id", "left_anti")
+        directory = incremental.key_directory(spark, target, ["event_id"], "event_date", dated.schema)
+        fresh = f"{run_dir}/fresh"
+        if not paths.finished(spark, fresh):
+            known = directory.find(dated, f"{run_dir}/known")
+            dated.join(known, "event_id", "left_anti").write.mode("overwrite").parquet(fresh)
         incremental.upsert(
-            spark, dated, target, ["event_id"], ["event_date"], run_dir,
-            cluster_by=["event_type", "device_type"], rows_move=False,
+            spark, spark.read.schema(dated.schema).parquet(fresh), target, ["event_id"], ["event_date"], run_dir,
+            cluster_by=["event_type", "device_type"], rows_move=False, directory=directory,
         )
 
     return _each_batch(raw_events, handle, checkpoint, every)
