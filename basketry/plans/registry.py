@@ -20,8 +20,9 @@ from basketry.operators import aggregates, dimensions, facts, quality, ranking,
 from basketry.plans import panels, reports, warehouse
 from basketry.schemas import ANALYTICS, RAW, STAGING
 from basketry.session import work_dir
-from basketry.sources import readers, star, writers
-from basketry.streaming import incremental, jobs
+from basketry.sources import bucketed, readers, star, writers
+from basketry.streaming import incremental, jobs, watermarks
+from basketry.streaming.directory import KeyDirectory
 
 AS_OF = dt.date(2001, 8, 1)
 NOW = "2001-08-01 00:30:00"
@@ -463,6 +464,18 @@ def _(t):
     return t.spark.read.parquet(path)
 
 
+@query("bucketed_user_revenue")
+def _(t):
+    """Revenue per user out of bucketed facts and users, which share their buckets."""
+    stored = []
+    users = t.users.select("user_id", F.col("plan_type").alias("user_plan_type"), F.col("country").alias("user_country"))
+    for name, df in (("orders", t.order_fact.select("order_id", "user_id", "net_revenue")), ("users", users)):
+        path = t.folder(f"bucketed-{name}")
+        table = f"bucketed_{path.rsplit('-', 1)[1]}"
+        stored.append(bucketed.write(df, table, path, "user_id", 8, split_hot=name == "orders"))
+    return bucketed.revenue_by_user(*stored)
+
+
 # --- incremental loads -----------------------------------------------------------
 
 # The first load holds orders up to MISSING_FROM, those from STALE_FROM on in an
@@ -510,6 +523,15 @@ def _(t):
     return t.spark.read.parquet(daily).select(*ANALYTICS["agg_daily_revenue"].fieldNames())
 
 
+@query("key_directory_places")
+def _(t):
+    """Where the orders of the second load are stored after the first, by the key directory."""
+    first, second = _two_loads(t)
+    directory = KeyDirectory(t.spark, t.folder("keys"), ["order_id"], "order_month_start", first.schema)
+    directory.add(first)
+    return directory.find(second, t.folder("known"))
+
+
 @query("incremental_funnel_merge")
 def _(t):
     middle = "2024-01-15"
@@ -576,6 +598,82 @@ def _(t):
     return t.spark.read.parquet(target).select(*STAGING["stg_events"].fieldNames())
 
 
+def _deliver(t, table: str, parts: list[DataFrame], run: Callable[[DataFrame], None]) -> None:
+    """Raw rows in files that arrive one after the other, each followed by runs of the jobs."""
+    lake = t.folder(f"lake-{table}")
+    for part in parts:
+        part.select(*RAW[table].fieldNames()).write.mode("append").parquet(readers.table_path(lake, table))
+        run(readers.stream_raw(t.spark, lake, table, "parquet"))
+
+
+def _copies(t) -> DataFrame:
+    firsts = staging.event_copy_order("earliest")
+    return t.raw_events.withColumn("copy", F.row_number().over(Window.partitionBy("event_id").orderBy(*firsts)))
+
+
+@query("stream_events_far_copies")
+def _(t):
+    """First arrivals whose later copies come three days on, three months back, or without a readable time."""
+    target, checkpoint = t.folder("events"), t.folder("dedupe-job")
+    copies, time = _copies(t), F.col("created_at").cast("timestamp")
+    kind = F.pmod(F.col("event_id").cast("long"), F.lit(3))
+    moved = F.when(kind == 0, time + F.expr("INTERVAL 3 DAYS")).when(kind == 1, time - F.expr("INTERVAL 90 DAYS"))
+    later = copies.filter(F.col("copy") == 2).withColumn("created_at", F.coalesce(F.date_format(moved, "yyyy-MM-dd HH:mm:ss.SSSSSS"), F.lit("?")))
+    undated = copies.filter("copy = 1 AND event_id % 7 = 0").withColumn("created_at", F.lit(None).cast("string"))
+    dated = copies.filter("copy = 1 AND event_id % 7 <> 0")
+    _deliver(t, "events", [undated.unionByName(dated), later], lambda raw: _finish(jobs.ingest_first_arrivals(raw, target, checkpoint)))
+    return t.spark.read.parquet(target).select(*STAGING["stg_events"].fieldNames())
+
+
+@query("stream_events_bounded_state")
+def _(t):
+    """Deduplication behind a watermark; a twentieth of the events come long after their time."""
+    root, target, *job = (t.folder(n) for n in ("routed", "events", "route-job", "dedupe-job"))
+    copies = _copies(t)
+    middle, late = F.lit("2024-01-15"), F.col("event_id").cast("long") % 20 == 0
+    early = (F.col("created_at") < middle) & ~late
+    parts = [copies.filter(early & (F.col("copy") == 1)), copies.filter(early & (F.col("copy") == 2)),
+             copies.filter(~early & ~late), copies.filter(late)]
+    schema = STAGING["stg_events"]
+
+    def run(raw):
+        _finish(watermarks.route(raw, root, job[0], "5 DAYS", prepare=watermarks.first_of_batch))
+        _finish(watermarks.deduplicate(watermarks.on_time(t.spark, root, schema), target, job[1], "5 days"))
+
+    _deliver(t, "events", parts, run)
+    return watermarks.first_arrivals(t.spark.read.parquet(target), watermarks.late(t.spark, root, schema))
+
+
+@query("stream_windows_with_late_orders")
+def _(t):
+    """Daily windows behind a watermark; some orders come long after their day, others have none."""
+    root, target, *job = (t.folder(n) for n in ("routed", "windows", "route-job", "window-job"))
+    raw, number = star.raw_orders(t.spark, t.sf_dir), F.col("order_id").cast("long")
+    raw = raw.withColumn("created_at", F.when(number % 101 != 0, F.col("created_at")))
+    late, year = number % 50 == 0, F.coalesce(F.year("created_at"), F.lit(0))
+    parts = [raw.filter(~late & (year < 1995)), raw.filter(~late & (year >= 1995) & (year < 1998)), raw.filter(late | (year >= 1998))]
+
+    def run(orders):
+        _finish(watermarks.route(orders, root, job[0], "1 DAY"))
+        _finish(watermarks.daily_windows(watermarks.on_time(t.spark, root, RAW["orders"]), t.users, target, job[1], "1 DAY"))
+
+    _deliver(t, "orders", parts, run)
+    late_orders = watermarks.late(t.spark, root, RAW["orders"])
+    found = watermarks.daily_revenue_with_late(t.spark.read.parquet(target), late_orders, t.users)
+    return found.select(*ANALYTICS["agg_daily_revenue"].fieldNames())
+
+
+@query("stream_late_orders")
+def _(t):
+    """The rows that the router tells to be late, by the clock of three deliveries."""
+    root, job = t.folder("routed"), t.folder("route-job")
+    raw = star.raw_orders(t.spark, t.sf_dir)
+    number = F.col("order_id").cast("long") % 3
+    _deliver(t, "orders", [raw.filter((number == n) & (F.year("created_at") <= 1994 + 2 * n)) for n in range(3)],
+             lambda orders: _finish(watermarks.route(orders, root, job, "400 DAYS")))
+    return watermarks.late(t.spark, root, RAW["orders"]).select("order_id", "created_at")
+
+
 @query("stream_funnel")
 def _(t):
     events, steps, checkpoint = t.folder("events"), t.folder("steps"), t.folder("funnel-job")

@@ -20,6 +20,26 @@ def delete(spark: SparkSession, path) -> None:
     fs.delete(hadoop_path, True)
 
 
+def move(spark: SparkSession, path: str, to: str) -> None:
+    """Rename a folder; the new name appears with all its files at once on file systems that rename."""
+    fs, source = _resolve(spark, path)
+    target = spark._jvm.org.apache.hadoop.fs.Path(to)
+    fs.mkdirs(target.getParent())
+    if not fs.rename(source, target):
+        raise OSError(f"can't move {path} to {to}")
+
+
+def make(spark: SparkSession, path: str) -> None:
+    fs, hadoop_path = _resolve(spark, path)
+    fs.mkdirs(hadoop_path)
+
+
+def names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none if there is no such folder."""
+    fs, hadoop_path = _resolve(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(hadoop_path)] if fs.exists(hadoop_path) else []
+
+
 def delete_folder_of_rows(spark: SparkSession, uri: str) -> None:
     """Delete a folder named as ``_metadata.file_path`` names it, URL-encoded."""
     delete(spark, spark._jvm.java.net.URI(uri))

@@ -22,8 +22,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from basketry.sources import paths
 
-BUCKETS = 64
-# Per bucket and folder of filters: bits, and bits set per key. One key in 10 is taken for known at 400,000 keys a bucket.
+# About a million keys a bucket; large tables take more. The folder is named after both numbers: with other ones it is
+# made anew from the table.
+BUCKETS = 16
+# Per bucket: bits, and bits set per key. One key in 10 is taken for known at 400,000 keys a bucket.
 FILTER_BITS, FILTER_HASHES = 1 << 21, 2
 _MAP_BITS = 1 << 15
 
@@ -39,7 +41,7 @@ class KeyDirectory:
                  buckets: int = BUCKETS, filter_bits: int = FILTER_BITS):
         if filter_bits % _MAP_BITS:
             raise ValueError(f"filter_bits is a multiple of {_MAP_BITS}")
-        self.spark, self.path, self.keys, self.lead = spark, path.rstrip("/"), list(keys), lead
+        self.spark, self.path, self.keys, self.lead = spark, f"{path.rstrip('/')}/{buckets}-{filter_bits}", list(keys), lead
         self.buckets, self.filter_bits = buckets, filter_bits
         self.places_schema = T.StructType([*(schema[k] for k in keys), T.StructField("place", schema[lead].dataType), T.StructField("bucket", T.IntegerType())])
         self.filters_schema = T.StructType([T.StructField("part", T.IntegerType()), T.StructField("bits", T.BinaryType()), T.StructField("bucket", T.IntegerType())])

@@ -19,7 +19,7 @@ from basketry.operators.dedupe import first_per_key
 from basketry.operators.staging import event_copy_order
 from basketry.schemas import DOMAINS
 from basketry.sources import paths, writers
-from basketry.streaming.directory import KeyDirectory, same_key
+from basketry.streaming.directory import BUCKETS, KeyDirectory, same_key
 
 _INCOMING, _FOLDER = "_incoming", "_folder"
 
@@ -102,9 +102,11 @@ def _rewrite_partitions(
             paths.delete_folder_of_rows(spark, folder)
 
 
-def key_directory(spark: SparkSession, target: str, keys: Sequence[str], lead: str, schema: T.StructType) -> KeyDirectory:
+def key_directory(
+    spark: SparkSession, target: str, keys: Sequence[str], lead: str, schema: T.StructType, buckets: int = BUCKETS
+) -> KeyDirectory:
     """The directory beside a table. A table that has none yet gets it, from one read of its keys."""
-    directory = KeyDirectory(spark, f"{target.rstrip('/')}_keys", keys, lead, schema)
+    directory = KeyDirectory(spark, f"{target.rstrip('/')}_keys", keys, lead, schema, buckets)
     if not directory.exists and paths.exists(spark, target):
         directory.add(spark.read.schema(schema).parquet(target))
     return directory

@@ -25,15 +25,17 @@ from basketry.sources import paths
 from basketry.sources.writers import ORDER_PARTITIONS, with_revenue_month
 from basketry.streaming import incremental
 
-def _triggered(writer: DataStreamWriter, every: str | None) -> DataStreamWriter:
+
+def triggered(writer: DataStreamWriter, every: str | None) -> DataStreamWriter:
     return writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
 
 
-def _each_batch(
+def each_batch(
     stream: DataFrame,
     handle: Callable[[SparkSession, DataFrame, str], None],
     checkpoint: str,
     every: str | None,
+    mode: str = "append",
 ) -> StreamingQuery:
     """Land each batch as files, then handle it as an ordinary table.
 
@@ -54,8 +56,8 @@ def _each_batch(
         # The previous batch is committed once this one runs.
         paths.delete(spark, f"{checkpoint}/runs/{batch_id - 1}")
 
-    writer = stream.writeStream.outputMode("append").option("checkpointLocation", f"{checkpoint}/state")
-    return _triggered(writer.foreachBatch(run), every).start()
+    writer = stream.writeStream.outputMode(mode).option("checkpointLocation", f"{checkpoint}/state")
+    return triggered(writer.foreachBatch(run), every).start()
 
 
 def ingest_orders(
@@ -83,7 +85,7 @@ def ingest_orders(
             days = incremental.touched_days(spark, facts.schema, run_dir)
             incremental.refresh_daily_revenue(spark, stored, daily_target, days, f"{run_dir}/daily")
 
-    return _each_batch(raw_orders, handle, checkpoint, every)
+    return each_batch(raw_orders, handle, checkpoint, every)
 
 
 def ingest_events(
@@ -98,7 +100,7 @@ def ingest_events(
     def handle(spark: SparkSession, batch: DataFrame, run_dir: str) -> None:
         incremental.upsert_events(spark, clean_events(batch), target, run_dir, keep, rows_move)
 
-    return _each_batch(raw_events, handle, checkpoint, every)
+    return each_batch(raw_events, handle, checkpoint, every)
 
 
 def ingest_first_arrivals(
@@ -123,13 +125,13 @@ def ingest_first_arrivals(
             cluster_by=["event_type", "device_type"], rows_move=False, directory=directory,
         )
 
-    return _each_batch(raw_events, handle, checkpoint, every)
+    return each_batch(raw_events, handle, checkpoint, every)
 
 
-_TOTALS = ("gross_total", "net_total", "priced_orders")
+TOTALS = ("gross_total", "net_total", "priced_orders")
 
 
-def _with_daily_measures(totals: DataFrame) -> DataFrame:
+def with_daily_measures(totals: DataFrame) -> DataFrame:
     net = as_double(F.col("net_total"))
     return totals.withColumns({
         "total_gross_revenue": as_double(F.col("gross_total")),
@@ -170,13 +172,13 @@ def publish_daily_revenue(
         if paths.exists(spark, target):
             months = incremental.touched_values(totals, "revenue_month")
             stored = spark.read.schema(news.schema).parquet(target).filter(incremental.is_one_of("revenue_month", months))
-            sums = [F.sum("order_count").alias("order_count"), *(F.sum(name).cast(news.schema[name].dataType).alias(name) for name in _TOTALS)]
+            sums = [F.sum("order_count").alias("order_count"), *(F.sum(name).cast(news.schema[name].dataType).alias(name) for name in TOTALS)]
             totals = stored.unionByName(totals).groupBy(*DAILY_KEYS, "revenue_month").agg(*sums)
         incremental.upsert(
-            spark, _with_daily_measures(totals), target, list(DAILY_KEYS), ["revenue_month"], run_dir, rows_move=False,
+            spark, with_daily_measures(totals), target, list(DAILY_KEYS), ["revenue_month"], run_dir, rows_move=False,
         )
 
-    return _each_batch(raw_orders, handle, checkpoint, every)
+    return each_batch(raw_orders, handle, checkpoint, every)
 
 
 def publish_funnel(
@@ -205,7 +207,7 @@ def publish_funnel(
             spark, device_steps(changed, steps, ["event_date"]), steps_target, "event_date", days, f"{run_dir}/steps", ["user_id"],
         )
 
-    return _each_batch(raw_events, handle, checkpoint, every)
+    return each_batch(raw_events, handle, checkpoint, every)
 
 
 def stored_funnel(steps_by_day: DataFrame, device: str = "alphabetical") -> DataFrame:

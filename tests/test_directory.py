@@ -39,14 +39,14 @@ def test_lookup_reads_only_the_buckets_of_the_batch(spark, directory, tmp_path):
     found = directory.find(asked, str(tmp_path / "s"))
     assert "PartitionFilters: [isnotnull(bucket" in final_plan(found)
     mine = directory.maybe_known(asked).first().bucket
-    for file in (tmp_path / "keys").glob("*/bucket=*/*.parquet"):
+    for file in (tmp_path / "keys").glob("*/*/bucket=*/*.parquet"):
         if f"bucket={mine}/" not in str(file):
             (file.parent / f".{file.name}.crc").unlink()
             file.write_bytes(b"no parquet")
     again = directory.find(asked, str(tmp_path / "t"))
     assert rows(again) == [("k5", DAY)]
     # Of keys that the filters have not seen, no place is read.
-    for file in (tmp_path / "keys" / "places").glob("bucket=*/*.parquet"):
+    for file in (tmp_path / "keys").glob("*/places/bucket=*/*.parquet"):
         file.unlink()
     same_bucket = (frame(spark, [(f"never {i}", 2, DAY) for i in range(200)]).withColumn("bucket", directory._bucket())
                    .filter(F.col("bucket") == mine))
