@@ -1,7 +1,7 @@
 """Byte-level BPE encoding and decoding with DuckDB queries inside each Spark partition.
 
 A text is split by the tokenizer's pattern; each match is a word. A word that is a vocabulary entry is one token.
-Of the others, a task encodes every distinct one once: its bytes become rows (word, position, token), and a
+Of the others, a worker encodes every distinct one once, as long as it remembers it: its bytes become rows (word, position, token), and a
 recursive query joins neighbouring tokens to the merge table and contracts, in each word and each round, the
 leftmost pair of lowest rank, until no pair is left. The merge table holds every way to split a vocabulary entry
 into two entries, which is how the public encoder finds pairs. Decoding joins the ids with the vocabulary and
@@ -14,6 +14,7 @@ A round handles one pair of a word, so the rows of one word grow with the square
 from __future__ import annotations
 
 import base64
+import functools
 import heapq
 import re
 import unicodedata
@@ -32,7 +33,7 @@ from basketry.llm.common import text_slices, tidy, without
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 LONG = 24
-CACHE = 200_000
+CACHE = 500_000
 WORDS_PER_QUERY = 40_000
 IDS_PER_QUERY = 250_000
 
@@ -122,46 +123,80 @@ class Database:
         self.db.unregister("incoming")
 
 
+class Memory:
+    """Words met so far and their ids. A worker process keeps it from task to task, so that frequent words are merged once."""
+
+    def __init__(self):
+        self.codes = Codes()
+        self.pool, self.starts, self.sizes = np.empty(0, np.int32), np.empty(0, np.int64), np.empty(0, np.int64)
+        self.uses = np.empty(0, np.int64)
+
+    def gather(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the words one after the other, and the end of each."""
+        sizes = self.sizes[codes]
+        ends = np.cumsum(sizes)
+        total = int(ends[-1]) if len(ends) else 0
+        return self.pool[np.arange(total) + np.repeat(self.starts[codes] - (ends - sizes), sizes)], ends
+
+    def forget(self) -> None:
+        """Keep the words used most since the last time, at most half as many as fit."""
+        kept = np.flatnonzero(self.uses > 1)
+        if len(kept) > CACHE // 2:
+            kept = np.sort(kept[np.argsort(-self.uses[kept], kind="stable")[:CACHE // 2]])
+        words = list(self.codes)
+        pool, ends = self.gather(kept)
+        sizes = self.sizes[kept]
+        self.__init__()
+        for i in kept.tolist():
+            self.codes[words[i]]
+        self.pool, self.starts, self.sizes, self.uses = pool, ends - sizes, sizes, np.zeros(len(kept), np.int64)
+
+
+@functools.lru_cache(maxsize=1)
+def _memory(path: str) -> Memory:
+    return Memory()
+
+
 class Encoder(Database):
-    def __init__(self, path: str):
+    def __init__(self, path: str, memory: Memory | None = None):
         super().__init__()
         self.ranks = read_ranks(path)
         self.split = Words()
-        self._forget()
+        self.memory = memory or Memory()
         merges = np.array([
             (self.ranks[v[:i]], self.ranks[v[i:]], r)
             for v, r in self.ranks.items() for i in range(1, len(v)) if v[:i] in self.ranks and v[i:] in self.ranks
         ], np.int32)
         self._load("merges", pa.table({"first": merges[:, 0], "second": merges[:, 1], "rank": merges[:, 2]}))
 
-    def _forget(self) -> None:
-        self.codes = Codes()
-        self.pool, self.starts, self.sizes = np.empty(0, np.int32), np.empty(0, np.int64), np.empty(0, np.int64)
-
     def encode(self, texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
         """Row ranges of the texts, with all their ids one after the other and how many each row has.
 
         The words of all texts are learnt together, in few queries; ids are gathered from range to range.
         """
-        if len(self.codes) > CACHE:
-            self._forget()
+        memory = self.memory
+        # A task that failed may have left words without ids.
+        self._learn(list(islice(memory.codes, len(memory.sizes), None)))
+        if len(memory.codes) > CACHE:
+            memory.forget()
         found = []
         for start, stop in text_slices(texts):
             split = [self.split(t) if t else [] for t in texts.slice(start, stop - start).to_pylist()]
             counts = np.array([len(w) for w in split], np.int64)
-            found.append((start, stop, counts, np.fromiter(map(self.codes.__getitem__, chain.from_iterable(split)), np.int32, counts.sum())))
+            found.append((start, stop, counts, np.fromiter(map(memory.codes.__getitem__, chain.from_iterable(split)), np.int32, counts.sum())))
             del split
-        self._learn(list(islice(self.codes, len(self.sizes), None)))
+        self._learn(list(islice(memory.codes, len(memory.sizes), None)))
         for start, stop, counts, codes in found:
-            sizes = self.sizes[codes]
-            ends = np.cumsum(sizes)
-            total = int(ends[-1]) if len(ends) else 0
-            flat = self.pool[np.arange(total) + np.repeat(self.starts[codes] - (ends - sizes), sizes)]
+            memory.uses += np.bincount(codes, minlength=len(memory.uses))
+            flat, ends = memory.gather(codes)
             bounds = np.concatenate(([0], ends))[np.concatenate(([0], np.cumsum(counts)))]
             yield start, stop, flat, np.diff(bounds)
 
     def _learn(self, fresh: list[str]) -> None:
         """Encode words that no earlier text had."""
+        if not fresh:
+            return
+        memory = self.memory
         data = [word.encode() for word in fresh]
         known = [self.ranks.get(d) for d in data]
         long = {i: self.contract(d) for i, d in enumerate(data) if known[i] is None and len(d) > LONG}
@@ -179,9 +214,10 @@ class Encoder(Database):
         if parts:
             n = sizes[short]
             pool[np.arange(n.sum()) + np.repeat(starts[short] - (np.cumsum(n) - n), n)] = np.concatenate([ids for ids, _ in parts])
-        self.starts = np.concatenate((self.starts, len(self.pool) + starts))
-        self.sizes = np.concatenate((self.sizes, sizes))
-        self.pool = np.concatenate((self.pool, pool))
+        memory.starts = np.concatenate((memory.starts, len(memory.pool) + starts))
+        memory.pool = np.concatenate((memory.pool, pool))
+        memory.uses = np.concatenate((memory.uses, np.zeros(len(fresh), np.int64)))
+        memory.sizes = np.concatenate((memory.sizes, sizes))
 
     def _merge(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the words one after the other, and how many each has."""
@@ -246,8 +282,8 @@ Batches = Iterator[pa.RecordBatch]
 
 
 def _encode(batches: Batches, path: str, text: str, to: str) -> Batches:
-    # An encoder lives as long as its task: workers are used again, and its memory must not stay behind.
-    with Encoder(path) as bpe:
+    # The database lives as long as its task: workers are used again, and its memory must not stay behind.
+    with Encoder(path, _memory(path)) as bpe:
         for batch in batches:
             texts = batch.column(batch.schema.get_field_index(text))
             for first, last in text_slices(texts, 8 << 20):
