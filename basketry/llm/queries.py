@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketry.llm import (byte_bpe, decontaminate, fill_in_middle, html_extract, language_id, lexical_search, ngram_join, quality,
-                          substring_dedup, token_counts, token_files, voronoi_knn, warc)
-from basketry.llm.common import ship, table
+                          repeated_runs, substring_dedup, token_counts, token_files, voronoi_knn, warc)
+from basketry.llm.common import ship, stored, table
 
 
 def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -42,7 +42,12 @@ def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return substring_dedup.repeated(table(spark, sf_dir, "documents"))
+    """Near copies among whole lines, and runs of words repeated word for word wherever they stand."""
+    documents = table(spark, sf_dir, "documents")
+    lines = substring_dedup.repeated(documents).withColumns({"first_word": F.lit(None).cast("int"), "class_first_word": F.lit(None).cast("int")})
+    runs = repeated_runs.find(documents).withColumns({
+        "paragraph": F.lit(None).cast("int"), "class_paragraph": F.lit(None).cast("int"), "n_links": F.lit(None).cast("long")})
+    return stored(lines.unionByName(runs), "repeated-passages").drop("text_key")
 
 
 def op7_top_k_search(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -88,7 +93,7 @@ QUERIES = {q.__name__: _shipped(q) for q in (
     op8_byte_bpe, op9_token_counts, op10_decontamination, op11_fill_in_middle, op12_lexical_search, op13_token_files,
 )}
 
-# Words and 5-word shingle sets of op1, op6: lower-cased A-Z, words between 0x20 and 0x09 to 0x0D.
+# Words and 5-word shingle sets of op1: lower-cased A-Z, words between 0x20 and 0x09 to 0x0D.
 _WORDS = """list_filter(string_split_regex(translate(coalesce({text}, ''),
     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '')"""
 _SHINGLES = """CASE WHEN len(w) >= 5 THEN list_distinct([array_to_string(w[i:i + 4], ' ') FOR i IN range(1, len(w) - 3)])
@@ -118,33 +123,6 @@ WITH RECURSIVE word AS (
 )
 SELECT doc_id, len(s) AS n_shingles, component_id, coalesce(n_links, 0) AS n_links
 FROM sets JOIN class ON doc_id = class.x LEFT JOIN different ON doc_id = different.x
-""",
-    "op6_substring_dedup": f"""
-WITH RECURSIVE line AS (
-    SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS paragraph
-    FROM documents
-), word AS (
-    SELECT doc_id, paragraph, {_WORDS.format(text='line')} AS w FROM line
-), passage AS (
-    SELECT doc_id, paragraph, len(w) AS n_words, doc_id * 100000 + paragraph AS id, {_SHINGLES} AS s FROM word WHERE len(w) >= 50
-), member AS (
-    SELECT id, len(s) AS n, unnest(s) AS g FROM passage
-), pair AS (
-    SELECT a.id AS x, b.id AS y, any_value(a.n) + any_value(b.n) AS total, count(*) AS shared
-    FROM member a JOIN member b ON a.g = b.g AND a.id <> b.id GROUP BY ALL
-), link AS (
-    SELECT x, y FROM pair WHERE 100 * shared >= 80 * (total - shared)
-), reach AS (
-    SELECT x, x AS y FROM link UNION SELECT r.x, l.y FROM reach r JOIN link l ON r.y = l.x
-), class AS (
-    SELECT x, min(y) AS first FROM reach GROUP BY x
-), different AS (
-    SELECT l.x, count(DISTINCT list_sort(s.s)) AS n_links
-    FROM link l JOIN passage s ON l.y = s.id JOIN passage o ON l.x = o.id WHERE list_sort(s.s) <> list_sort(o.s) GROUP BY l.x
-)
-SELECT doc_id, paragraph, n_words, first // 100000 AS class_doc_id, first % 100000 AS class_paragraph,
-       coalesce(n_links, 0) AS n_links, id <> first AS removed
-FROM passage JOIN class ON id = class.x LEFT JOIN different ON id = different.x
 """,
     "op2_warc": """
 WITH record AS (

@@ -51,16 +51,17 @@ def paragraphs(text: str | None, min_words: int) -> list[tuple[int, int, bytes]]
 
 
 def _sets(batches: Iterator[pa.RecordBatch], min_words: int) -> Iterator[tuple]:
-    """(doc_id, paragraph, words, hashes, position in the batch) of all passages."""
+    """(doc_id, paragraph, words, text_key, hashes) of all passages."""
     for batch in batches:
         ids = batch.column(0).to_pylist()
-        only = batch.column(2).to_pylist() if batch.num_columns > 2 else None
+        texts = batch.column(2).to_pylist()
+        only = batch.column(3).to_pylist() if batch.num_columns > 3 else None
         for start in range(0, len(ids), 256):
-            found = [(ids[i], *p) for i, text in enumerate(batch.column(1).slice(start, 256).to_pylist(), start)
+            found = [(ids[i], *p[:2], texts[i], p[2]) for i, text in enumerate(batch.column(1).slice(start, 256).to_pylist(), start)
                      for p in paragraphs(text, min_words) if only is None or p[0] in only[i]]
-            lines = pa.array([p[3] for p in found], pa.binary())
+            lines = pa.array([p[4] for p in found], pa.binary())
             for row, hashes in shingle_sets(lines):
-                yield (*found[row][:3], hashes)
+                yield (*found[row][:4], hashes)
 
 
 def _batches(rows: Iterator[tuple], kinds: dict[str, pa.DataType], size: int = 2000) -> Iterator[pa.RecordBatch]:
@@ -75,21 +76,22 @@ def _batches(rows: Iterator[tuple], kinds: dict[str, pa.DataType], size: int = 2
 
 
 def repeated(documents: DataFrame, min_words: int = MIN_WORDS, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Paragraphs that have a copy or near copy: doc_id, paragraph, n_words, class_doc_id, class_paragraph, n_links, removed.
+    """Paragraphs that have a copy or near copy: doc_id, text_key, paragraph, n_words, class_doc_id, class_paragraph, n_links, removed.
 
     ``paragraph`` counts the lines of a text from 0. Near copies share five-word shingles with a Jaccard similarity of at
     least 0.8 (words as in the n-gram join). class_doc_id and class_paragraph name the first paragraph of the
     component, removed is true for all others; n_links counts the different sets that the paragraph's set is linked with. Shorter paragraphs, and null or empty texts, give no
-    row. Of repeated rows with one doc_id the later lose their paragraphs only with the whole doc_id, so equal
+    row. text_key is a hash that tells texts of one doc_id apart. Of repeated rows with one doc_id the later lose their paragraphs only with the whole doc_id, so equal
     (doc_id, paragraph) rows are all kept if they come first. Rows with a null doc_id take no part. An empty table gives no row.
     """
     base = documents.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).where("doc_id IS NOT NULL")
-    kinds = {"doc_id": pa.int64(), "paragraph": pa.int32(), "n_words": pa.int32(), "sig": pa.int64(), "bands": pa.list_(pa.int64())}
+    base = base.withColumn("text_key", F.xxhash64("text"))
+    kinds = {"doc_id": pa.int64(), "paragraph": pa.int32(), "n_words": pa.int32(), "text_key": pa.int64(), "sig": pa.int64(), "bands": pa.list_(pa.int64())}
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from _batches(((d, p, w, signature(h), band_keys(h)) for d, p, w, h in _sets(batches, min_words)), kinds)
+        yield from _batches(((d, p, w, t, signature(h), band_keys(h)) for d, p, w, t, h in _sets(batches, min_words)), kinds)
 
-    described = stored(base.mapInArrow(tidy(describe), "doc_id long, paragraph int, n_words int, sig long, bands array<long>"), "passages")
+    described = stored(base.mapInArrow(tidy(describe), "doc_id long, paragraph int, n_words int, text_key long, sig long, bands array<long>"), "passages")
     first = F.min(F.struct("doc_id", "paragraph")).alias("rep")
     classes = stored(described.groupBy("sig").agg(first, F.count(F.lit(1)).alias("copies")), "passage-classes")
     # All copies of a class have its bands; the first stands for it.
@@ -101,9 +103,9 @@ def repeated(documents: DataFrame, min_words: int = MIN_WORDS, key: str = "doc_i
     shapes = {"id": pa.int64(), "n": pa.int64(), "elements": pa.binary()}
 
     def elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from _batches(((signature(h), len(h), np.sort(h.view(np.int64)).tobytes()) for _, _, _, h in _sets(batches, min_words)), shapes)
+        yield from _batches(((signature(h), len(h), np.sort(h.view(np.int64)).tobytes()) for *_, h in _sets(batches, min_words)), shapes)
 
-    sets = base.join(stored(wanted, "wanted"), "doc_id").select("doc_id", "text", "only").mapInArrow(
+    sets = base.join(stored(wanted, "wanted"), "doc_id").select("doc_id", "text", "text_key", "only").mapInArrow(
         tidy(elements), "id long, n long, elements binary").dropDuplicates(["id"])
     found = stored(linked(sets, near), "passage-links").withColumnRenamed("id", "sig")
 
@@ -113,21 +115,7 @@ def repeated(documents: DataFrame, min_words: int = MIN_WORDS, key: str = "doc_i
     firsts = stored(labelled.groupBy("component").agg(F.min("rep").alias("first"), F.sum("copies").alias("members"))
                     .where("members > 1"), "passage-firsts")
     named = stored(labelled.join(firsts, "component").select("sig", "first", "n_links"), "passage-names")
-    return described.select("doc_id", "paragraph", "n_words", "sig").join(named, "sig").select(
-        "doc_id", "paragraph", "n_words", F.col("first.doc_id").alias("class_doc_id"),
+    return described.select("doc_id", "text_key", "paragraph", "n_words", "sig").join(named, "sig").select(
+        "doc_id", "text_key", "paragraph", "n_words", F.col("first.doc_id").alias("class_doc_id"),
         F.col("first.paragraph").alias("class_paragraph"), F.col("n_links").cast("long").alias("n_links"),
         ((F.col("doc_id") != F.col("first.doc_id")) | (F.col("paragraph") != F.col("first.paragraph"))).alias("removed"))
-
-
-def remove(documents: DataFrame, found: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``documents`` without the paragraphs that ``found`` marks as removed; a column _removed counts them (0 or more).
-
-    Other lines and their order stay. Texts without such a paragraph, null ones among them, stay as they are.
-    """
-    gone = stored(found.where("removed").groupBy(F.col("doc_id").alias("_gone_id")).agg(
-        F.collect_set("paragraph").alias("_gone")), "removed-paragraphs")
-    left = F.concat_ws("\n", F.filter(F.split(F.col(text), "\n"), lambda line, i: ~F.array_contains("_gone", i)))
-    return documents.join(gone, F.col(key) == F.col("_gone_id"), "left").withColumns({
-        text: F.when(F.col("_gone").isNull(), F.col(text)).otherwise(left),
-        "_removed": F.coalesce(F.size("_gone"), F.lit(0)),
-    }).drop("_gone_id", "_gone")

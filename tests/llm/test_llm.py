@@ -12,7 +12,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from basketry.llm import (byte_bpe, decontaminate, html_extract, language_id, ngram_join, quality, set_links, substring_dedup,
+from basketry.llm import (byte_bpe, decontaminate, html_extract, language_id, ngram_join, quality, repeated_runs, set_links, substring_dedup,
                           token_counts, voronoi_knn, warc)
 from basketry.llm.components import components
 
@@ -228,7 +228,7 @@ def test_substring_dedup_equals_brute_force(spark):
     for root, _ in want.values():
         sizes[root] = sizes.get(root, 0) + 1
     assert got == {(k // 1000, k % 1000): v for k, v in want.items() if sizes[v[0]] > 1}
-    left = {r.doc_id: r.text for r in substring_dedup.remove(frame, found).collect()}
+    left = {r.doc_id: r.text for r in repeated_runs.remove(frame, lines=found).collect()}
     for d, t in enumerate(texts):
         gone = {p for (doc, p), (first, _) in got.items() if doc == d and first != d * 1000 + p}
         assert left[d] == (t if t is None or not gone else "\n".join(x for p, x in enumerate(t.split("\n")) if p not in gone))
