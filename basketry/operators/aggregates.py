@@ -27,7 +27,7 @@ def agg_daily_revenue(fct_orders: DataFrame) -> DataFrame:
 
 
 # Horizon suffix and trailing days; None is all time.
-_HORIZONS = (("last_30d", 30), ("last_90d", 90), ("all_time", None))
+HORIZONS = (("last_30d", 30), ("last_90d", 90), ("all_time", None))
 
 
 def _product_sums(as_of: Column) -> list[Column]:
@@ -35,7 +35,7 @@ def _product_sums(as_of: Column) -> list[Column]:
     quantity, net = F.col("quantity").cast("long"), as_decimal(F.col("net_revenue"))
     costed = F.when(F.col("net_revenue").isNotNull(), quantity)
     sums = []
-    for suffix, days in _HORIZONS:
+    for suffix, days in HORIZONS:
         if days is None:
             inside, outside = (lambda c: c), F.lit(0)
         else:
@@ -77,9 +77,14 @@ def agg_product_performance(
         summed = fct_orders.groupBy("product_id").agg(*_product_sums(day))
         per_product = summed.join(names, "product_id", "left")
 
+    return performance_measures(per_product)
+
+
+def performance_measures(per_product: DataFrame) -> DataFrame:
+    """Units, revenue and profit per product out of its sums, name and cost."""
     cost = F.col("product_cost_price")
     measures = []
-    for suffix, _ in _HORIZONS:
+    for suffix, _ in HORIZONS:
         known = F.col(f"net_{suffix}") - cost.cast("decimal(17,10)") * F.col(f"costed_{suffix}").cast("decimal(15,0)")
         only_outside = F.when(F.col(f"outside_{suffix}") > 0, F.lit(0).cast("long"))
         profit = F.when(cost.isNull(), only_outside).otherwise(known)

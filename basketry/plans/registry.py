@@ -16,11 +16,11 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types a
 
 from basketry.functions import money
 from basketry.functions.labels import DOMAIN_STATUS_LABELS
-from basketry.operators import aggregates, dimensions, facts, quality, ranking, staging
+from basketry.operators import aggregates, dimensions, facts, observed, quality, ranking, sketches, staging, trailing
 from basketry.plans import panels, reports, warehouse
 from basketry.schemas import ANALYTICS, RAW, STAGING
 from basketry.session import work_dir
-from basketry.sources import bucketed, readers, star, writers
+from basketry.sources import bucketed, checked, readers, star, writers
 from basketry.streaming import incremental, jobs, watermarks
 from basketry.streaming.directory import KeyDirectory
 
@@ -136,6 +136,39 @@ def _(t):
     return staging.stg_events(_from_files(t, "events", "csv"))
 
 
+def _spoilt_orders(t) -> tuple[DataFrame, DataFrame]:
+    """Good rows and rejects of raw orders of which some are delivered with values or columns that can't be read."""
+    root, number = t.folder("spoilt"), F.col("order_id").cast("long")
+    raw = star.raw_orders(t.spark, t.sf_dir).select(*RAW["orders"].fieldNames())
+    text = raw.select(number.alias("number"), *(F.col(c).cast("string") for c in raw.columns)).withColumns({
+        "quantity": F.when(number % 11 == 0, "many").otherwise(F.col("quantity").cast("string")),
+        "unit_price": F.when(number % 13 == 0, "9,50").otherwise(F.col("unit_price").cast("string")),
+        "created_at": F.when(number % 17 == 0, F.date_format("created_at", "dd.MM.yy")).when(number % 2 == 0, F.date_format("created_at", "yyyy-MM-dd")).otherwise(
+            F.date_format("created_at", "yyyy-MM-dd'T'HH:mm:ss")),
+        "order_id": F.when(number % 19 != 0, F.col("order_id")),
+    })
+    whole, short = text.filter("number % 23 <> 0").drop("number"), text.filter("number % 23 = 0")
+    path = readers.table_path(root, "orders")
+    whole.write.options(**readers.CSV_OPTIONS).csv(path)
+    # A line without a header would pass for one, so these files are read without.
+    cut = short.select(F.concat_ws(",", F.col("number").cast("string"), "user_id", "status").alias("value"))
+    cut.write.text(readers.table_path(f"{root}-cut", "orders"))
+    parts = [checked.read(t.spark, root, "orders"), checked.read(t.spark, f"{root}-cut", "orders", header="false")]
+    return tuple(a.unionByName(b) for a, b in zip(*parts))
+
+
+@query("source_checked_orders")
+def _(t):
+    return staging.stg_orders(_spoilt_orders(t)[0])
+
+
+@query("source_rejected_orders")
+def _(t):
+    """How many delivered lines were rejected for which reasons."""
+    rejects = _spoilt_orders(t)[1]
+    return rejects.groupBy(F.concat_ws(" ", F.array_sort("reasons")).alias("reasons")).agg(F.count(F.lit(1)).alias("lines"))
+
+
 @query("source_parquet_orders")
 def _(t):
     return staging.stg_orders(_from_files(t, "orders", "parquet"))
@@ -258,6 +291,53 @@ def _(t):
     return reports.cohort_retention(t.user_dimension, t.order_fact, "approx")
 
 
+def _stored_sketches(t) -> DataFrame:
+    """Sketches of three loads of orders, stored one after the other and merged."""
+    fact = facts.fct_orders(t.orders, stg_users=t.users).select("order_id", "user_id", "order_date", "user_signup_date")
+    path = t.folder("sketches")
+    for n in range(3):
+        load = fact.filter(F.pmod(F.xxhash64("order_id"), F.lit(3)) == n)
+        sketches.activity_sketches(load).write.mode("append").parquet(path)
+    return sketches.merge(t.spark.read.parquet(path))
+
+
+@query("retention_from_sketches")
+def _(t):
+    """Counted users per cohort and month beside whether the stored sketches agree within four standard errors."""
+    fact = facts.fct_orders(t.orders, stg_users=t.users).filter("user_signup_date IS NOT NULL AND order_date IS NOT NULL")
+    exact = fact.select("user_id", F.trunc("user_signup_date", "MM").alias("cohort_month"), F.trunc("order_date", "MM").alias("order_month")).distinct()
+    exact = exact.groupBy(*sketches.SKETCH_KEYS).agg(F.count("user_id").alias("users"))
+    found = sketches.estimate(_stored_sketches(t)).withColumnRenamed("users", "estimate")
+    near = F.abs(F.col("estimate") - F.col("users")) <= F.greatest(F.lit(1.0), 4 * sketches.STANDARD_ERROR * F.col("users"))
+    return exact.join(found, list(sketches.SKETCH_KEYS), "full").select(
+        *sketches.SKETCH_KEYS, "users", F.coalesce(near, F.lit(False)).alias("within_bound"))
+
+
+@query("sketches_rolled_up")
+def _(t):
+    """Whether sketches rolled up to years give the estimates of a build in one go."""
+    fact = facts.fct_orders(t.orders, stg_users=t.users)
+    year = (F.year("order_month").alias("order_year"),)
+    merged = sketches.estimate(_stored_sketches(t), year).withColumnRenamed("users", "merged")
+    whole = sketches.estimate(sketches.activity_sketches(fact), year)
+    return whole.join(merged, "order_year", "full").select("order_year", (F.col("users") == F.col("merged")).alias("equal"))
+
+
+@query("trailing_product_performance")
+def _(t):
+    """Product performance moved over ten reporting days by what enters and leaves the horizons."""
+    columns = [F.trunc("order_date", "MM").alias("order_month_start"), "*"]
+    path = t.folder("product-days")
+    trailing.product_days(t.order_fact).select(*columns).write.partitionBy("order_month_start").parquet(path)
+    days, day = t.spark.read.parquet(path).drop("order_month_start"), AS_OF - dt.timedelta(10)
+    sums = trailing.start(days, day)
+    for n in range(10):
+        later, kept = day + dt.timedelta(1), t.folder(f"product-sums-{n}")
+        trailing.advance(sums, days, day, later).write.parquet(kept)
+        sums, day = t.spark.read.parquet(kept), later
+    return trailing.performance(sums, t.products)
+
+
 @query("top_products_by_region")
 def _(t):
     return reports.top_products_by_region(t.order_fact, AS_OF, stg_products=t.products)
@@ -411,6 +491,13 @@ def _(t):
     return quality.readable(t.raw)
 
 
+@query("observed_write_metrics")
+def _(t):
+    """Quality metrics of the raw tables, taken along by the writes that store them."""
+    path = t.folder("observed")
+    return observed.write(t.raw, lambda name, df: df.write.parquet(f"{path}/{name}"))
+
+
 @query("freshness")
 def _(t):
     return quality.freshness(t.orders, F.lit(NOW).cast("timestamp"))

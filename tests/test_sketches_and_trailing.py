@@ -1,0 +1,97 @@
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from basketry.operators import aggregates, dimensions, facts, sketches, staging, trailing
+from basketry.plans import reports
+from tests.conftest import AS_OF, final_plan, order, product, rows, user
+
+
+def users_of(make, n):
+    return staging.stg_users(make.users([user(f"u{i}", signup=f"2024-0{1 + i % 3}-1{i % 9}") for i in range(n)]))
+
+
+@pytest.fixture()
+def shop(make):
+    users = users_of(make, 300)
+    days = [f"2024-0{1 + i % 6}-0{1 + i % 9}" for i in range(900)]
+    orders = staging.stg_orders(make.orders([order(f"o{i}", f"u{i * 7 % 320}", day=d) for i, d in enumerate(days)]))
+    return users, facts.fct_orders(orders, stg_users=users)
+
+
+def test_retention_from_sketches(shop):
+    users, fact = shop
+    dims = dimensions.dim_users(users, AS_OF)
+    exact = {r["cohort_month"]: r for r in reports.cohort_retention(dims, fact).collect()}
+    found = sketches.cohort_retention(dims, sketches.activity_sketches(fact)).collect()
+    assert {r["cohort_month"] for r in found} == set(exact)
+    for r in found:
+        for name in ("month0_pct", "month1_pct", "month2_pct", "month3_pct"):
+            assert r[name] == pytest.approx(exact[r["cohort_month"]][name], rel=4 * sketches.STANDARD_ERROR)
+        assert r["total_users"] == exact[r["cohort_month"]]["total_users"]
+
+
+def test_merged_loads_equal_one_build(shop):
+    _, fact = shop
+    whole = sketches.activity_sketches(fact)
+    loads = [sketches.activity_sketches(fact.filter(F.pmod(F.xxhash64("order_id"), F.lit(3)) == n)) for n in range(3)]
+    assert rows(sketches.estimate(whole)) == rows(sketches.estimate(sketches.merge(*loads, loads[1])))
+    year = (F.trunc("order_month", "year").alias("year"),)
+    ordered = fact.filter("user_signup_date IS NOT NULL").select("user_id").distinct().count()
+    assert sketches.estimate(whole, year).first()["users"] == pytest.approx(ordered, rel=4 * sketches.STANDARD_ERROR)
+
+
+def test_sketches_of_nothing(shop):
+    users, fact = shop
+    empty = sketches.activity_sketches(fact.limit(0))
+    dims = dimensions.dim_users(users, AS_OF)
+    assert {r["month0_pct"] for r in sketches.cohort_retention(dims, empty).collect()} == {0.0}
+
+
+@pytest.fixture()
+def sales(make):
+    products = staging.stg_products(make.products([product("p1"), product("p2", cost=None), product("p3", base=0.0)]))
+    start = dt.date(2024, 1, 1)
+    batch = [order(f"o{i}", product_id=f"p{1 + i % 4}", day=str(start + dt.timedelta(i * 3 % 181)), unit_price=0.1 * (i % 13),
+                   quantity=None if i % 17 == 0 else i % 5) for i in range(400)]
+    batch += [order("undated", created_at=None), order("lone", product_id="p9", day="2024-03-29", discount_amount=None)]
+    return products, facts.fct_orders(staging.stg_orders(make.orders(batch)))
+
+
+def test_ten_reporting_days_equal_full_builds(spark, sales, tmp_path):
+    products, fact = sales
+    trailing.product_days(fact).write.partitionBy("order_date").parquet(str(tmp_path / "days"))
+    stored = spark.read.parquet(str(tmp_path / "days")).select(*trailing.product_days(fact).columns)
+    day = dt.date(2024, 6, 20)
+    sums = trailing.start(stored, day)
+    for n in range(10):
+        later = day + dt.timedelta(3 if n == 4 else 1)
+        sums = trailing.advance(sums, stored, day, later)
+        sums.write.parquet(str(tmp_path / f"sums-{n}"))
+        sums, day = spark.read.parquet(str(tmp_path / f"sums-{n}")), later
+        known = fact.filter(F.col("order_date").isNull() | (F.col("order_date") <= F.lit(day)))
+        full = aggregates.agg_product_performance(known, day, products)
+        assert rows(trailing.performance(sums, products), *full.columns) == rows(full)
+
+
+def test_a_move_reads_only_days_that_enter_or_leave(spark, sales, tmp_path):
+    _, fact = sales
+    trailing.product_days(fact).write.partitionBy("order_date").parquet(str(tmp_path / "days"))
+    stored = spark.read.parquet(str(tmp_path / "days"))
+    read = stored.filter(trailing.moving_days(dt.date(2024, 6, 1), dt.date(2024, 6, 2)))
+    assert {d for (d,) in rows(read.select("order_date").distinct())} <= {dt.date(2024, 6, 2), dt.date(2024, 5, 2), dt.date(2024, 3, 3)}
+    assert "order_date" in final_plan(read).split("PartitionFilters: ")[1].splitlines()[0]
+
+
+def test_late_orders_enter_with_the_next_move(sales):
+    products, fact = sales
+    day, later = dt.date(2024, 6, 10), dt.date(2024, 6, 11)
+    late = F.col("order_id").isin("o5", "o77", "o300") & (F.col("order_date") <= F.lit(day))
+    first = trailing.product_days(fact.filter(~F.coalesce(late, F.lit(False))))
+    sums = trailing.advance(trailing.start(first, day), first, day, later, late=trailing.product_days(fact.filter(late)))
+    known = fact.filter(F.col("order_date").isNull() | (F.col("order_date") <= F.lit(later)))
+    full = aggregates.agg_product_performance(known, later, products)
+    assert rows(trailing.performance(sums, products), *full.columns) == rows(full)
+    with pytest.raises(ValueError):
+        trailing.advance(sums, first, later, day)
