@@ -113,9 +113,13 @@ def freshness(df: DataFrame, now: Column, column: str = "created_at", max_lag_se
     )
 
 
-def assert_no_pii(df: DataFrame, pii: Sequence[str] = PII_COLUMNS) -> DataFrame:
-    """Raise when a personal column is present; returns the table for chaining."""
-    leaked = sorted({c.lower() for c in df.columns} & set(pii))
+def assert_no_pii(df: DataFrame, pii: Sequence[str] = PII_COLUMNS, derived: bool = False) -> DataFrame:
+    """Raise when a personal column is present; returns the table for chaining.
+
+    With ``derived`` digests and pseudonyms count too, which are named after the column they are made of.
+    """
+    prefixes = tuple(f"{name}_" for name in pii) if derived else ()
+    leaked = sorted(c for c in df.columns if c.lower() in pii or c.lower().startswith(prefixes))
     if leaked:
         raise ValueError(f"personal columns beyond staging: {leaked}")
     return df

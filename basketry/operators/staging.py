@@ -7,8 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from basketry.functions.labels import is_true
+from basketry.functions.pseudonyms import configured_key, pseudonym
 from basketry.operators.dedupe import first_per_key
-from basketry.schemas import STAGING
+from basketry.schemas import PII_COLUMNS, STAGING
 
 EVENT_COLUMNS = tuple(STAGING["stg_events"].fieldNames())
 
@@ -39,14 +40,20 @@ def stg_orders(raw_orders: DataFrame) -> DataFrame:
     )
 
 
-def stg_users(raw_users: DataFrame, pii: str = "exclude") -> DataFrame:
-    """``pii="hash"`` adds SHA-256 digests of the personal columns; no fact or dimension takes them on."""
-    if pii not in ("exclude", "hash"):
-        raise ValueError("pii is 'exclude' or 'hash'")
-    masked = [
-        F.sha2(F.col("email"), 256).alias("email_sha256"),
-        F.sha2(F.col("name"), 256).alias("name_sha256"),
-    ]
+def stg_users(raw_users: DataFrame, pii: str = "exclude", key: bytes | None = None, key_version: int = 1) -> DataFrame:
+    """Personal columns stay out, or come in another form that no fact or dimension takes on.
+
+    ``pii="pseudonym"`` adds keyed pseudonyms, ``pii="hash"`` plain SHA-256 digests, which can be undone by
+    hashing candidates. Without ``key`` pseudonyms take the session's.
+    """
+    if pii not in ("exclude", "hash", "pseudonym"):
+        raise ValueError("pii is 'exclude', 'hash' or 'pseudonym'")
+    masked = []
+    if pii == "hash":
+        masked = [F.sha2(F.col(name), 256).alias(f"{name}_sha256") for name in PII_COLUMNS]
+    elif pii == "pseudonym":
+        key, key_version = (key, key_version) if key else configured_key(raw_users.sparkSession)
+        masked = [pseudonym(F.col(name), key, key_version).alias(f"{name}_pseudonym") for name in PII_COLUMNS]
     return _keyed(raw_users, "user_id").select(
         F.col("user_id").cast("string"),
         F.lower("plan_type").alias("plan_type"),
@@ -54,7 +61,7 @@ def stg_users(raw_users: DataFrame, pii: str = "exclude") -> DataFrame:
         F.upper("country").alias("country"),
         F.col("created_at").cast("timestamp"),
         is_true(F.col("is_active")).alias("is_active"),
-        *(masked if pii == "hash" else []),
+        *masked,
     )
 
 

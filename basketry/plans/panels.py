@@ -19,12 +19,17 @@ def dashboard_filter(
     start: dt.date | str | None = None,
     end: dt.date | str | None = None,
     regions: Sequence[str] | None = None,
+    day: str = "order_date",
 ) -> DataFrame:
-    """Global date and region filters, both ends inclusive; apply to a fact or aggregate before a panel."""
+    """Global date and region filters, both ends inclusive; apply to a fact, aggregate or events before a panel.
+
+    ``day`` names a date or time column: events take ``created_at``, and have no region.
+    """
     if start is not None:
-        df = df.filter(F.col("order_date") >= as_of_date(start))
+        df = df.filter(F.col(day) >= as_of_date(start))
     if end is not None:
-        df = df.filter(F.col("order_date") <= as_of_date(end))
+        # Also right for times, and a plain bound that reaches the scan.
+        df = df.filter(F.col(day) < F.date_add(as_of_date(end), 1))
     if regions is not None:
         df = df.filter(F.col("region").isin(*regions))
     return df

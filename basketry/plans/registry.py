@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types a
 
 from basketry.functions import money
 from basketry.functions.labels import DOMAIN_STATUS_LABELS
-from basketry.operators import aggregates, dimensions, facts, observed, quality, ranking, sketches, staging, trailing
+from basketry.operators import aggregates, calendar, dimensions, facts, observed, quality, ranking, sketches, staging, trailing
 from basketry.plans import panels, reports, warehouse
 from basketry.schemas import ANALYTICS, RAW, STAGING
 from basketry.session import work_dir
@@ -192,6 +192,12 @@ def _(t):
     return staging.stg_users(star.raw_users(t.spark, t.sf_dir), pii="hash")
 
 
+@query("stg_users_pseudonyms")
+def _(t):
+    """With a fixed key; jobs take theirs from the session."""
+    return staging.stg_users(star.raw_users(t.spark, t.sf_dir), pii="pseudonym", key=bytes(range(32)), key_version=7)
+
+
 @query("stg_products")
 def _(t):
     return t.products
@@ -443,6 +449,12 @@ def _(t):
     return reports.mom_revenue_growth(panels.dashboard_filter(t.order_fact, regions=["NA", "EU"]), AS_OF)
 
 
+@query("panel_funnel_filtered")
+def _(t):
+    chosen = panels.dashboard_filter(t.funnel_events, "2024-01-05", "2024-01-20", day="created_at")
+    return reports.funnel_dropoff_from_events(chosen)
+
+
 @query("panel_top_products")
 def _(t):
     return panels.top_products(t.product_performance)
@@ -529,6 +541,17 @@ def _(t):
     return stored.select("order_id", "region", "order_date", "net_revenue", "user_plan_type")
 
 
+@query("calendar_weekends")
+def _(t):
+    """Orders of the weekends of second quarters; the calendar's months prune the fact's partitions."""
+    path = t.folder("fct_orders")
+    writers.write_fct_orders(writers.with_order_month(t.full_fact), path, _MONTHLY)
+    days = calendar.store(calendar.build(t.spark, dt.date(1990, 1, 1), dt.date(2009, 12, 31)), t.folder("calendar"))
+    chosen = F.col("is_weekend") & (F.col("quarter") == 2)
+    found = calendar.on_days(t.spark.read.parquet(path), days, chosen, "order_month_start")
+    return found.select("order_id", "order_date", "region", "net_revenue")
+
+
 @query("layout_stg_events")
 def _(t):
     path = t.folder("stg_events")
@@ -589,6 +612,11 @@ def _(t):
     return recent.select("order_id", "order_date", "net_revenue")
 
 
+@query("high_water_mark")
+def _(t):
+    return incremental.high_water_mark(t.orders)
+
+
 @query("incremental_upsert_equals_full")
 def _(t):
     target, first, second = t.folder("fct_orders"), *_two_loads(t)

@@ -43,7 +43,7 @@ def build_analytics(staged: Mapping[str, DataFrame], as_of: AsOf = None) -> dict
         "fct_user_funnel": facts.fct_user_funnel(staged["stg_events"]),
     }
     for name, df in models.items():
-        quality.assert_schema(df, ANALYTICS[name])
+        quality.assert_no_pii(quality.assert_schema(df, ANALYTICS[name]), derived=True)
     return models
 
 
