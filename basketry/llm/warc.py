@@ -176,15 +176,18 @@ def read(index: DataFrame) -> DataFrame:
 
 
 def resolve(records: DataFrame) -> DataFrame:
-    """Digest columns of what was read: a revisit has the length and digest of the response it refers to."""
+    """Digest columns of what was read: a revisit has the length and digest of the response it refers to.
+
+    Of several responses with one page_id that is the one whose digest the revisit names.
+    """
+    response = F.col("record_type") == "response"
     own = stored(records.select("page_id", "record_type", "refers_to", F.octet_length("payload").cast("long").alias("n"),
-                                F.sha2("payload", 256).alias("digest")), "warc-read")
-    responses = own.where("record_type = 'response'").join(
-        own.select(F.col("refers_to").alias("page_id")).distinct(), "page_id", "left_semi"
-    ).groupBy("page_id").agg(F.first("n").alias("full_n"), F.first("digest").alias("full_digest"))
-    found = stored(responses.withColumnRenamed("page_id", "refers_to"), "warc-responses")
-    return own.join(found, "refers_to", "left").select(
-        "page_id", F.coalesce("full_n", "n").alias("payload_bytes"), F.coalesce("full_digest", "digest").alias("payload_digest"),
+                                F.when(response, F.sha2("payload", 256)).otherwise(F.col("payload_digest")).alias("digest")), "warc-read")
+    asked = own.select(F.col("refers_to").alias("page_id"), "digest").where("page_id IS NOT NULL").distinct()
+    found = stored(own.where(response).join(asked, ["page_id", "digest"], "left_semi").groupBy("page_id", "digest").agg(
+        F.first("n").alias("full_n")).withColumnRenamed("page_id", "refers_to"), "warc-responses")
+    return own.join(found, ["refers_to", "digest"], "left").select(
+        "page_id", F.when(response, F.col("n")).otherwise(F.col("full_n")).alias("payload_bytes"), F.col("digest").alias("payload_digest"),
         "record_type", "refers_to")
 
 
