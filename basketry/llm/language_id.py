@@ -34,13 +34,21 @@ class Model(NamedTuple):
     log_p: np.ndarray  # BUCKETS x languages
 
 
-def grams(data: np.ndarray) -> np.ndarray:
-    """A bucket per byte position: that byte and the three before it, A-Z lower-cased, other ASCII signs and digits as blanks."""
+def grams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A bucket per byte position: that byte and the three before it, A-Z lower-cased, other ASCII signs and digits as blanks.
+
+    Before a text, which starts at one of ``offsets``, there are blanks.
+    """
     low = np.where((data >= 0x41) & (data <= 0x5A), data | 0x20, data)
     low = np.where((low < 0x61) | ((low > 0x7A) & (low < 0x80)), 0x20, low).astype(np.uint32)
     code = low.copy()
+    starts, sizes = offsets[:-1], np.diff(offsets)
     for i, factor in ((1, 0x9E3779B1), (2, 0x85EBCA77), (3, 0xC2B2AE3D)):
-        code[i:] += low[:-i] * np.uint32(factor) if len(low) > i else 0
+        before = np.full(len(low), 0x20, np.uint32)
+        before[i:] = low[:-i]
+        for j in range(i):
+            before[starts[sizes > j] + j] = 0x20
+        code += before * np.uint32(factor)
     code *= np.uint32(0x27D4EB2F)
     return (code >> np.uint32(16)).astype(np.int64), low
 
@@ -63,8 +71,8 @@ def train(df: DataFrame, text: str = "text", lang: str = "lang") -> Model:
                 if len(sums) > MAX_LANGUAGES:
                     raise ValueError("too many languages")
                 for start, stop in text_slices(own):
-                    data, _ = flat_bytes(own.slice(start, stop - start))
-                    total += np.bincount(grams(data)[0], minlength=BUCKETS)
+                    data, offsets = flat_bytes(own.slice(start, stop - start))
+                    total += np.bincount(grams(data, offsets)[0], minlength=BUCKETS)
         for label, total in sums.items():
             bucket = np.flatnonzero(total)
             yield pa.RecordBatch.from_arrays(
@@ -87,19 +95,19 @@ def mixtures(model: Model, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Proportions of the languages (documents x languages) and whether a text has a letter at all."""
     n = len(texts)
     data, offsets = flat_bytes(texts)
-    codes, low = grams(data)
+    codes, low = grams(data, offsets)
     blank = low == 0x20
     letters = np.add.reduceat(np.append(~blank, False).astype(np.int64), offsets[:-1]) > 0 if n else np.zeros(0, bool)
     # Segments begin at texts and at the first blank after every SEGMENT bytes of a text.
     cell = (np.arange(len(data)) - np.repeat(offsets[:-1], np.diff(offsets))) // SEGMENT
+    cell += np.repeat(np.arange(n) << 40, np.diff(offsets))
     spaces = np.flatnonzero(blank)
     first = np.flatnonzero(np.diff(cell[spaces], prepend=-1) != 0)
     starts = np.union1d(spaces[first], offsets[:-1])
     # Positions without a letter say nothing.
     weight = np.where(blank, np.float32(0), np.float32(1))
     likelihood = np.stack(
-        [np.add.reduceat(model.log_p[:, i][codes] * weight, starts) for i in range(len(model.languages))], axis=1,
-    ).astype(np.float64)
+        [np.add.reduceat(model.log_p[:, i][codes] * weight, starts, dtype=np.float64) for i in range(len(model.languages))], axis=1)
     document = np.searchsorted(offsets, starts, side="right") - 1
     first_of = np.searchsorted(starts, offsets[:-1])
     segments = np.diff(np.append(first_of, len(starts)))
@@ -120,14 +128,17 @@ def mixtures(model: Model, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     order = np.lexsort((np.broadcast_to(np.arange(full.shape[1]), full.shape), -total, -full.round(9)), axis=1)
     best = np.full(n, -np.inf)
     chosen = np.zeros_like(full)
+    # Each document stops at the first set that is no better, whatever the others of its slice do.
+    growing = np.ones(n, bool)
     for size in range(1, full.shape[1] + 1):
         mask = np.zeros_like(full)
         np.put_along_axis(mask, order[:, :size], 1.0, axis=1)
         share, fitted = fit(mask)
         penalised = fitted - PENALTY * (size - 1) * (1 + np.log(segments))
-        better = penalised > best + 1e-9
+        better = growing & (penalised > best + 1e-9)
         best[better], chosen[better] = penalised[better], share[better]
-        if not better.any():
+        growing = better
+        if not growing.any():
             break
     return chosen, letters
 
