@@ -25,10 +25,11 @@ from pyspark.sql import Window as W
 
 from basketry.llm.common import stored, without
 
+# A quote only quotes right after an equals sign; elsewhere it is a character like any other.
 TAG = re.compile(
     r"<!--.*?(?:-->|$)|<!\[CDATA\[(.*?)(?:\]\]>|$)|<[!?][^>]*(?:>|$)|"
-    r"<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|$)|'[^']*(?:'|$))*)(?:>|$)", re.DOTALL)
-ATTRIBUTE = re.compile(r"([a-zA-Z_:][\w:.-]*)\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?", re.DOTALL)
+    r"<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]+|=\s*(?:\"[^\"]*(?:\"|$)|'[^']*(?:'|$))?)*)(?:>|$)", re.DOTALL)
+ATTRIBUTE = re.compile(r"([a-zA-Z_:][\w:.-]*)\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.DOTALL)
 
 # Element groups of HTML.
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
@@ -41,6 +42,7 @@ BLOCK = frozenset(
     "h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th "
     "thead tr ul".split())
 CLOSES_P = BLOCK - frozenset("body dd dt html legend li summary tbody td tfoot th thead tr".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
 CONTAINER = frozenset("article main section div td body blockquote".split())
 SCOPES = {  # an opening tag ends these open elements, up to these parents
     "li": ("li", ("ul", "ol", "menu", "dir")), "dd": ("dd dt", ("dl",)), "dt": ("dd dt", ("dl",)),
@@ -58,6 +60,10 @@ BOILERPLATE = frozenset(
     "signup login share sharing social "
     "comment comments commentlist disqus respond reply replies reactions discussion "
     "complementary contentinfo search hidden".split())
+# Those of them that are also titles of an article's own sections, from which ids are made.
+TITLES = frozenset(
+    "discussion legal search related recommended recommendations notice notices header banner alert promotion social copyright "
+    "reactions sharing subscription navigation trending reply comment complementary".split())
 ARTICLE_WORDS = frozenset(
     "article articlebody post entry story content main body text blogpost maincontent postcontent entrycontent".split())
 WORD = re.compile(r"[A-Za-z][a-z]*|[A-Z]+")
@@ -77,14 +83,14 @@ class Page(NamedTuple):
     containers: list[Element]
 
 
-def _words(attributes: dict[str, str]) -> set[str]:
-    named = " ".join(attributes.get(k, "") for k in ("class", "id", "role", "itemprop"))
+def _words(attributes: dict[str, str], names: tuple[str, ...] = ("class", "id", "role", "itemprop")) -> set[str]:
+    named = " ".join(attributes.get(k, "") for k in names)
     return {w.lower() for w in WORD.findall(named)} | {re.sub(r"[^a-z]", "", w.lower()) for w in named.split()}
 
 
 def _label(tag: str, attributes: dict[str, str]) -> str:
     classes = sorted({re.sub(r"\d+", "#", c.lower()) for c in attributes.get("class", "").split()})
-    return ".".join([tag, *classes[:4]])
+    return ".".join([tag, *classes])
 
 
 def parse(text: str) -> Page:
@@ -92,12 +98,13 @@ def parse(text: str) -> Page:
     root = Element("#", "", None, False, False, False)
     stack, blocks, containers = [root], [], []
     pieces: list[str] = []
-    home, linked = root, 0
+    home, linked, blank = root, 0, True
 
     def flush() -> None:
-        nonlocal linked
+        nonlocal linked, blank
         joined = " ".join("".join(pieces).split())
         pieces.clear()
+        blank = True
         if joined:
             blocks.append((home, joined))
             value = max(0, len(joined) - 2 * linked)
@@ -112,14 +119,15 @@ def parse(text: str) -> Page:
         linked = 0
 
     def add(raw: str, decode: bool = True) -> None:
-        nonlocal home, linked
+        nonlocal home, linked, blank
         if not raw:
             return
         value = html.unescape(raw) if decode and "&" in raw else raw
         top = stack[-1]
         if top.hidden:
             return
-        if not pieces or not "".join(pieces).strip():
+        if blank:
+            blank = not value.strip()
             home = top
             while home.parent is not None and home.tag not in BLOCK:
                 home = home.parent
@@ -193,6 +201,10 @@ def parse(text: str) -> Page:
         if not hidden and words & BOILERPLATE and tag not in ("html", "body", "article", "main", "h1"):
             # "entry-header" in an article or "content-with-sidebar" around one name the article's own parts
             named = words & BOILERPLATE - ({"header"} if parent.article else set())
+            if parent.article:
+                # Headings belong to it, and ids are often made from them: there only a whole name that is no title counts.
+                ids = {re.sub(r"[^a-z]", "", attributes.get("id", "").lower())} & BOILERPLATE - TITLES
+                named = set() if tag in HEADINGS else named & (_words(attributes, ("class", "role", "itemprop")) | ids)
             hidden = bool(named) and not (tag in CONTAINER and words & {"content", "main", "article"} and not words & {"ad", "ads", "comment", "comments"})
         if tag in RAW or tag == "plaintext":
             stop = re.compile(f"</{tag}\\s*>?", re.IGNORECASE).search(text, at)
@@ -264,14 +276,19 @@ def extract(pages: DataFrame, url: str = "url", markup: str = "html", to: str =
     """``pages`` with the article text in ``to``; empty if there is none or the page is null.
 
     Character references are decoded, white space inside a block becomes one space, blocks are joined in page order
-    by one space. Repeated rows get equal texts (and a vote each); a column named ``to`` is replaced.
+    by one space. Repeated rows get equal texts (and a vote each); a column named ``to`` is replaced. Pages of any length are parsed whole, in
+    time that grows with their length.
     """
-    winners = stored(consensus(pages, url, markup).select(F.col("host").alias("_host"), F.col("path").alias("_path")), "paths")
+    winners = stored(consensus(pages, url, markup).select("host", "path"), "paths")
 
     @F.pandas_udf("string")
     def take(markups: pd.Series, paths: pd.Series) -> pd.Series:
         return pd.Series([text_of(parse(h), p) if h else "" for h, p in zip(markups, paths)], dtype=object)
 
     kept = without(pages, to) if to != markup else pages
-    joined = kept.withColumn("_host", host(url)).join(winners, "_host", "left")
-    return joined.withColumn(to, take(F.col(markup), F.col("_path"))).drop("_host", "_path")
+    # By place, so that no name can clash.
+    placed = kept.select(*(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(kept.columns)), host(url).alias("host"),
+                         F.col(markup).cast("string").alias("markup"))
+    joined = placed.join(winners, "host", "left").withColumn("found", take("markup", "path"))
+    columns = [F.col("found" if c == to else f"c{i}").alias(c) for i, c in enumerate(kept.columns)]
+    return joined.select(*columns, *([] if to in kept.columns else [F.col("found").alias(to)]))
