@@ -2,9 +2,10 @@
 
 Windows of ``SEED`` words start where a text's shingle hash is the smallest of ``GAP`` in a row. The choice follows from
 the words alone, so two copies of a run choose the same places, and every run of ``MIN_WORDS`` words holds a whole
-window. Windows with equal digests are aligned with their first occurrence (the first one with the last); windows that
-overlap and agree on the shift make a stretch. A stretch is then extended word by word on both sides, as far as both
-texts agree, and is a repeated run if it reaches ``MIN_WORDS`` words.
+window. A window is aligned with the one of equal digest before it in its text, so that words said over and over shift by
+one period, or else with the digest's first occurrence in all texts (the first one with the last). Windows that overlap
+and agree on the shift make a stretch. A stretch is then extended word by word on both sides, as far as both texts
+agree, and is a repeated run if it reaches ``MIN_WORDS`` words.
 
 Only minima and maxima are kept per digest, so one in a third of all texts costs a row per task. A run whose windows
 all have an earlier copy in some other, shorter run is aligned with that one and not found if the shorter one is too short.
@@ -62,16 +63,21 @@ def _texts_of_words(texts: pa.Array) -> Iterator[tuple[int, np.ndarray]]:
 
 def _seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        rows, places, digests = [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0, np.uint64)]
+        rows, places, digests, earlier = [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
         for row, words in _texts_of_words(batch.column(2)):
             at, found = seeds(words)
             rows.append(np.full(len(at), row))
             places.append(at)
             digests.append(found)
+            order = np.argsort(found, kind="stable")
+            before = np.full(len(at), -1)
+            before[order[1:]] = np.where(found[order[1:]] == found[order[:-1]], at[order[:-1]], -1)
+            earlier.append(before)
         row = pa.array(np.concatenate(rows))
         yield pa.RecordBatch.from_arrays(
             [batch.column(0).take(row), batch.column(1).take(row), pa.array(np.concatenate(places).astype(np.int32)),
-             pa.array(np.concatenate(digests).view(np.int64))], names=["id", "t", "pos", "digest"])
+             pa.array(np.concatenate(digests).view(np.int64)), pa.array(np.concatenate(earlier).astype(np.int32))],
+            names=["id", "t", "pos", "digest", "before"])
 
 
 def _edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -118,10 +124,11 @@ def find(documents: DataFrame, key: str = "doc_id", text: str = "text", min_word
     if min_words < MIN_WORDS:
         raise ValueError(f"runs have at least {MIN_WORDS} words")
     docs = _keyed(documents, key, text)
-    found = stored(docs.select("id", "t", "text").mapInArrow(tidy(_seeds), "id long, t long, pos int, digest long"), "run-seeds")
+    found = stored(docs.select("id", "t", "text").mapInArrow(tidy(_seeds), "id long, t long, pos int, digest long, before int"), "run-seeds")
     spot = F.struct("id", "t", "pos")
     classes = stored(found.groupBy("digest").agg(F.min(spot).alias("first"), F.max(spot).alias("last")).where("first <> last"), "run-classes")
-    partner = F.when(spot == F.col("first"), F.col("last")).otherwise(F.col("first"))
+    own = F.struct("id", "t", F.col("before").alias("pos"))
+    partner = F.when(F.col("before") >= 0, own).when(spot == F.col("first"), F.col("last")).otherwise(F.col("first"))
     aligned = found.join(classes, "digest").select("id", "t", "pos", partner.alias("p"), (spot != F.col("first")).alias("removed"))
     aligned = aligned.select("id", "t", "pos", F.col("p.id").alias("pid"), F.col("p.t").alias("pt"), (F.col("pos") - F.col("p.pos")).alias("shift"), "removed")
     along = Window.partitionBy("id", "t", "pid", "pt", "shift", "removed").orderBy("pos")
