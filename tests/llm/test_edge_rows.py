@@ -9,7 +9,7 @@ import pytest
 
 import corpus_pipeline
 from basketry.llm import html_extract, language_id, quality, warc
-from tests.llm.test_llm import documents
+from tests.llm.test_llm import documents, prose
 
 ARTICLE = "<html><body><div class='menu'>away</div><article><h1>Title</h1><p>one two three four five.</p>%s<p>last words of it.</p></article></body></html>"
 
@@ -101,5 +101,20 @@ def test_variety_counts_different_grams():
     assert len(quality.varieties(np.empty(0, np.int64), np.empty(0, np.int64))) == 0
 
 
+def test_stages_of_rows_without_or_with_equal_ids(spark, tmp_path):
+    base, item = prose(80), prose(40)
+    rows = [(None, base), (7, base + " end"), (7, prose(90)), (8, base), (8, base), (None, item), (9, prose(30) + " " + item), (None, prose(60)), (None, None), (10, None)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0, "r", 1) for i, t in rows],
+                                 "doc_id long, text string, lang string, source string, n_chars long, row string, component int")
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs, "")
+    assert kept.columns == docs.columns
+    got = sorted(((r.doc_id, r.text) for r in kept.collect()), key=str)
+    assert got == sorted([r for n, r in enumerate(rows) if n not in (0, 3, 4)], key=str)
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    clean = corpus_pipeline.drop_benchmark_leaks(spark, docs, str(tmp_path))
+    assert clean.columns == docs.columns
+    assert sorted(((r.doc_id, r.text) for r in clean.collect()), key=str) == sorted([r for n, r in enumerate(rows) if n not in (5, 6)], key=str)
+
+
 def test_language_stage_of_null_texts(spark):
     assert corpus_pipeline.identify_language(spark, documents(spark, [None, None]), "").count() == 0
