@@ -8,7 +8,7 @@ rows of a key. The result, a table (gram, log_p, back_off) per order, is stored
 
 Scoring cuts texts into slices, looks the different grams of a slice up shard by shard (longest order first, with
 back-off for unseen ones) and sums per document. A shard has at most ``SHARD_ROWS`` rows, and a worker holds one
-shard and one slice at a time beyond the ``KEPT`` shards it remembers, so memory is bounded whatever the corpus.
+shard and one slice at a time beyond the rows of ``KEPT`` shards it remembers, so memory is bounded whatever the corpus.
 
 Texts are dealt to two folds by their hash, and each is scored by the model of the other fold's trusted texts, so no text
 is judged by a model that has seen it or an exact copy. The limits are quantiles of the trusted texts' scores made that
@@ -160,11 +160,23 @@ def _files(folder: str) -> list[str]:
     return sorted(f.path for f in system.get_file_info(FileSelector(at)) if f.path.endswith(".parquet"))
 
 
-@functools.lru_cache(maxsize=KEPT)
+_shards_read: dict[str, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+
+
 def _shard(folder: str, path: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    system, _ = FileSystem.from_uri(folder)
-    rows = pq.read_table(path, filesystem=system)
-    return tuple(rows.column(c).to_numpy() for c in ("gram", "log_p", "back_off"))
+    """A shard's columns. A worker remembers shards of ``KEPT`` times ``SHARD_ROWS`` rows in all, the last ones used."""
+    rows = _shards_read.pop(path, None)
+    if rows is None:
+        system, _ = FileSystem.from_uri(folder)
+        found = pq.read_table(path, filesystem=system)
+        rows = tuple(found.column(c).to_numpy() for c in ("gram", "log_p", "back_off"))
+        kept = len(rows[0]) + sum(len(r[0]) for r in _shards_read.values())
+        for oldest in list(_shards_read):
+            if kept <= KEPT * SHARD_ROWS:
+                break
+            kept -= len(_shards_read.pop(oldest)[0])
+    _shards_read[path] = rows
+    return rows
 
 
 def _look_up(folder: str, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
