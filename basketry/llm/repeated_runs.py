@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from basketry.llm.common import flat_bytes, mix, stored, text_slices, tidy, word_hashes
+from basketry.llm.common import flat_bytes, mix, sifted, stored, text_slices, tidy, word_hashes
 
 MIN_WORDS = 50
 SHINGLE, SEED, GAP = 5, 28, 23
@@ -143,7 +143,8 @@ def find(documents: DataFrame, key: str = "doc_id", text: str = "text", min_word
 
     wanted = asked("id", "t", F.lit(0)).union(asked("pid", "pt", F.col("shift"))).distinct()
     lists = stored(wanted.groupBy("id", "t").agg(F.collect_list("end").alias("ends")), "run-edges")
-    edges = stored(docs.join(lists, ["id", "t"]).select("id", "t", "text", "ends").mapInArrow(
+    maybe = sifted(docs, ["id", "t"], lists, ["id", "t"]).where("_maybe")
+    edges = stored(maybe.join(lists, ["id", "t"]).select("id", "t", "text", "ends").mapInArrow(
         tidy(_edges), "id long, t long, at int, side int, near array<long>").dropDuplicates(["id", "t", "at", "side"]), "run-contexts")
     near = stretches
     for name, i, t, at, side in (("a0", "id", "t", "start", 0), ("a1", "id", "t", "stop", 1),
@@ -198,7 +199,13 @@ def remove(documents: DataFrame, runs: DataFrame | None = None, lines: DataFrame
     names = [f"c{i}" for i in range(len(documents.columns))]
     rest = documents.toDF(*names)
     k, t = names[documents.columns.index(key)], names[documents.columns.index(text)]
-    met = rest.join(gone, F.col(k).eqNullSafe(F.col("_gone.doc_id")) & (F.xxhash64(F.col(t).cast("string")) == F.col("_gone.text_key")), "left")
+    text_key = F.xxhash64(F.col(t).cast("string"))
+    rest = sifted(rest, [F.col(k).cast("long"), text_key], gone, ["_gone.doc_id", "_gone.text_key"])
+    met = rest.where("_maybe").join(gone, F.col(k).eqNullSafe(F.col("_gone.doc_id")) & (text_key == F.col("_gone.text_key")), "left")
     changed = F.when(F.col("_gone").isNull(), F.col(t)).otherwise(F.pandas_udf(_cut, "string")(F.col(t), F.col("_gone.lines"), F.col("_gone.runs")))
     count = sum(F.coalesce(F.greatest(F.size(c), F.lit(0)), F.lit(0)) for c in ("_gone.lines", "_gone.runs"))
-    return met.select(*((changed if n == t else F.col(n)).alias(c) for n, c in zip(names, documents.columns) if c != "_removed"), count.alias("_removed"))
+
+    def named(rows: DataFrame, new_text: Column, removed: Column) -> DataFrame:
+        return rows.select(*((new_text if n == t else F.col(n)).alias(c) for n, c in zip(names, documents.columns) if c != "_removed"), removed.alias("_removed"))
+
+    return named(met, changed, count).union(named(rest.where("NOT _maybe"), F.col(t).cast("string"), F.lit(0)))

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketry.llm.common import mix, shingle_sets, signature, stored, tidy
+from basketry.llm.common import mix, shingle_sets, sifted, signature, stored, tidy
 from basketry.llm.set_links import clusters, linked
 
 MIN_WORDS = 50
@@ -105,7 +105,9 @@ def repeated(documents: DataFrame, min_words: int = MIN_WORDS, key: str = "doc_i
     def elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from _batches(((signature(h), len(h), np.sort(h.view(np.int64)).tobytes()) for *_, h in _sets(batches, min_words)), shapes)
 
-    sets = base.join(stored(wanted, "wanted"), "doc_id").select("doc_id", "text", "text_key", "only").mapInArrow(
+    wanted = stored(wanted, "wanted")
+    maybe = sifted(base, ["doc_id"], wanted, ["doc_id"]).where("_maybe")
+    sets = maybe.join(wanted, "doc_id").select("doc_id", "text", "text_key", "only").mapInArrow(
         tidy(elements), "id long, n long, elements binary").dropDuplicates(["id"])
     found = stored(linked(sets, near), "passage-links").withColumnRenamed("id", "sig")
 

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from basketry.llm import repeated_runs, substring_dedup
+from basketry.llm.common import sifted
 from tests.llm.test_llm import ODD, edited
 
 rng = random.Random(23)
@@ -122,3 +123,41 @@ def test_long_runs_of_one_word(spark):
     docs = frame(spark, ["same " * 3000, "x " + "same " * 200])
     left = {r.doc_id: len(words_of(r.text)) for r in repeated_runs.remove(docs, repeated_runs.find(docs)).collect()}
     assert left[1] == 1 and 1 <= left[0] <= 50
+
+
+def shuffled_rows(node):
+    """Rows that the shuffles of an executed plan wrote."""
+    kind = node.getClass().getSimpleName()
+    if kind == "AdaptiveSparkPlanExec":
+        return shuffled_rows(node.executedPlan())
+    if kind.endswith("QueryStageExec"):
+        return shuffled_rows(node.plan())
+    own = node.metrics().apply("shuffleRecordsWritten").value() if kind == "ShuffleExchangeExec" else 0
+    return own + sum(shuffled_rows(node.children().apply(i)) for i in range(node.children().size()))
+
+
+def test_texts_that_meet_nothing_are_not_shuffled(spark):
+    texts = [laid_out(prose(60)) for _ in range(600)]
+    texts += [texts[7] + " more", texts[8] + " more"]
+    docs = frame(spark, texts)
+    runs = repeated_runs.find(docs)
+    before = {name: spark.conf.get(name) for name in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")}
+    try:
+        for name in before:
+            spark.conf.set(name, "-1")
+        cut = repeated_runs.remove(docs, runs)
+        assert cut.where("_removed > 0").count() == 2
+        assert len(cut.collect()) == len(texts)
+        assert shuffled_rows(cut._jdf.queryExecution().executedPlan()) < 100
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
+def test_a_sift_lets_all_partners_through_and_few_others(spark):
+    docs = spark.range(3000).select(F.when(F.col("id") > 0, F.col("id")).alias("id"), F.lit("text").alias("text"))
+    found = docs.where("id IS NULL OR id % 50 = 0")
+    wanted = {r.id for r in found.collect()}
+    kept = {r.id for r in sifted(docs, ["id"], found, ["id"]).where("_maybe").collect()}
+    assert None in kept and wanted <= kept and len(kept) < 600
+    assert sifted(docs, ["id"], docs.limit(0), ["id"]).where("_maybe").isEmpty()
