@@ -677,10 +677,13 @@ def _arrivals(t, table: str, start: Callable[[DataFrame], object], key: str, par
 
     Files are dealt by a hash of the key, so all later files bring rows of days that earlier ones had.
     """
-    lake = t.folder(f"lake-{table}")
+    lake, dealt = t.folder(f"lake-{table}"), t.folder(f"dealt-{table}")
     raw = getattr(star, f"raw_{table}")(t.spark, t.sf_dir).select(*RAW[table].fieldNames())
+    # The table is mapped once, not once per delivery.
+    numbered = raw.withColumn("part", F.pmod(F.xxhash64(key), F.lit(parts)).cast("int"))
+    numbered.write.partitionBy("part").parquet(dealt)
     for part in range(parts):
-        arrived = raw.filter(F.pmod(F.xxhash64(key), F.lit(parts)) == part)
+        arrived = t.spark.read.schema(numbered.schema).parquet(dealt).filter(F.col("part") == part).drop("part")
         arrived.write.mode("append").parquet(readers.table_path(lake, table))
         _finish(start(readers.stream_raw(t.spark, lake, table, "parquet")))
 

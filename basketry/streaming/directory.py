@@ -58,9 +58,13 @@ class KeyDirectory:
         spots = [F.pmod(F.xxhash64(*self.keys, F.lit(f"filter {i}")), F.lit(self.filter_bits)) for i in range(FILTER_HASHES)]
         return F.array(*(F.struct((s / _MAP_BITS).cast("int").alias("part"), (s % _MAP_BITS).cast("long").alias("bit")) for s in spots))
 
-    def add(self, rows: DataFrame) -> None:
-        """Note where rows (keys and lead column) are stored; their filters follow the places, so none is missed."""
-        noted = rows.select(*self.keys, F.col(self.lead).alias("place")).distinct().withColumn("bucket", self._bucket())
+    def add(self, rows: DataFrame, unique: bool = False) -> None:
+        """Note where rows (keys and lead column) are stored; their filters follow the places, so none is missed.
+
+        ``unique`` says that no key comes twice, which saves a shuffle.
+        """
+        noted = rows.select(*self.keys, F.col(self.lead).alias("place"))
+        noted = (noted if unique else noted.distinct()).withColumn("bucket", self._bucket())
         self._append(noted.hint("rebalance", F.col("bucket")).sortWithinPartitions("bucket", *self.keys), "places")
         spots = rows.select(self._bucket().alias("bucket"), F.explode(self._bits()).alias("spot"))
         maps = spots.groupBy("bucket", F.col("spot.part").alias("part")).agg(F.expr("bitmap_construct_agg(spot.bit)").alias("bits"))
@@ -78,17 +82,16 @@ class KeyDirectory:
 
     def maybe_known(self, batch: DataFrame) -> DataFrame:
         """The distinct keys of the batch that the filters have seen, and a few they have not, with their bucket."""
-        asked = batch.select(*self.keys).distinct().withColumns({"bucket": self._bucket(), "spot": F.explode(self._bits())})
-        filters = self._stored("filters", self.filters_schema, self._buckets_of(asked))
+        asked = batch.select(*self.keys, self._bucket().alias("bucket"), F.explode(self._bits()).alias("spot"))
+        filters = self._stored("filters", self.filters_schema, self._buckets_of(batch.select(self._bucket().alias("bucket"))))
         maps = filters.groupBy("bucket", "part").agg(F.expr("bitmap_or_agg(bits)").alias("bits"))
         spots = asked.select(*self.keys, "bucket", F.col("spot.part").alias("part"), F.col("spot.bit").alias("bit"))
         # A filter stays one row per part however many keys ask for it: the keys' bits are tested at the part's bitmap.
         byte = F.conv(F.hex(F.expr("substring(bits, int(bit div 8) + 1, 1)")), 16, 10).cast("int")
-        hit = spots.join(maps, ["bucket", "part"]).filter(byte.bitwiseAND(F.expr("shiftleft(1, int(bit % 8))")) > 0)
-        seen = hit.groupBy(*self.keys, "bucket").agg(F.count(F.lit(1)).alias("hits"))
-        wanted = spots.groupBy(*self.keys, "bucket").agg(F.count(F.lit(1)).alias("spots"))
-        both = wanted.join(seen, same_key(wanted, seen, self.keys)).filter("hits = spots")
-        return both.select(*(wanted[k] for k in self.keys), wanted["bucket"])
+        hit = byte.bitwiseAND(F.expr("shiftleft(1, int(bit % 8))")) > 0
+        tested = spots.join(maps, ["bucket", "part"], "left").groupBy(*self.keys, "bucket").agg(
+            F.bool_and(F.coalesce(hit, F.lit(False))).alias("seen"))
+        return tested.filter("seen").drop("seen")
 
     def find(self, batch: DataFrame, scratch: str) -> DataFrame:
         """Keys of the batch that were ever stored, and their places (null is one); a key may have several.

@@ -149,7 +149,7 @@ def upsert(
     def touched(stored: DataFrame) -> list:
         places = batch.select(lead)
         if rows_move:
-            places = places.union(directory.find(batch, f"{run_dir}/known").select("place"))
+            places = places.union(directory.find(batch, f"{run_dir}/known").select("place").distinct())
         return touched_values(places, lead)
 
     def merge(old: DataFrame | None) -> DataFrame:
@@ -167,7 +167,7 @@ def upsert(
 
     _rewrite_partitions(
         spark, target, incoming.schema, partition_by, run_dir, touched, merge, cluster_by, remember,
-        (lambda: directory.add(batch)) if directory else None,
+        (lambda: directory.add(batch, unique=bool(preference or batch_preference))) if directory else None,
     )
 
 

@@ -1,9 +1,12 @@
 import datetime as dt
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F, types as T
 
 from basketry.operators import staging
+from basketry.plans import registry
+from basketry.schemas import RAW
 from basketry.sources import paths, readers
 from basketry.streaming import incremental, jobs
 from basketry.streaming.directory import KeyDirectory
@@ -112,3 +115,35 @@ def test_events_move_between_far_days(spark, make, tmp_path):
         incremental.upsert_events(spark, staging.clean_events(make.events(batch)), target, f"{tmp_path}/runs/{n}")
     everything = staging.stg_events(make.events(sum(batches, [])))
     assert rows(spark.read.parquet(target), *everything.columns) == rows(everything)
+
+
+def test_a_lookup_shuffles_the_keys_once(spark, tmp_path):
+    schema = T.StructType([T.StructField("key", T.StringType()), T.StructField("day", T.StringType())])
+    stored = spark.createDataFrame([(f"k{i}", "a") for i in range(50)] + [(None, "b")], schema)
+    directory = KeyDirectory(spark, str(tmp_path / "keys"), ["key"], "day", schema)
+    directory.add(stored, unique=True)
+    batch = spark.createDataFrame([("k1", "z"), ("k1", "y"), ("new", "z"), (None, "z")], schema)
+    maybe = directory.maybe_known(batch)
+    assert {r["key"] for r in maybe.collect()} >= {"k1", None} and maybe.count() <= 3
+    assert {(r["key"], r["place"]) for r in directory.find(batch, str(tmp_path / "scratch")).collect()} == {("k1", "a"), (None, "b")}
+    planned = final_plan(directory.maybe_known(batch))
+    assert sum("hashpartitioning(key" in line for line in planned.split("\n") if line.startswith("Arguments")) == 1
+
+
+def test_deliveries_map_the_raw_table_once(spark, tmp_path, monkeypatch):
+    mapped, n = spark.sparkContext.accumulator(0), 40
+
+    @F.udf("string")
+    def noted(x):
+        mapped.add(1)
+        return x
+
+    fields = [noted(F.col("id").cast("string")).alias("event_id"), *(F.lit("x").alias(c) for c in RAW["events"].fieldNames()[1:])]
+    monkeypatch.setattr(registry.star, "raw_events", lambda *_: spark.range(n).select(*fields))
+    monkeypatch.setattr(registry.readers, "stream_raw", lambda spark, lake, *_: spark.read.parquet(registry.readers.table_path(lake, "events")))
+    monkeypatch.setattr(registry, "_finish", lambda seen: None)
+    arrived = []
+    t = SimpleNamespace(spark=spark, sf_dir="", folder=lambda name: str(tmp_path / name))
+    registry._arrivals(t, "events", lambda raw: arrived.append(raw.count()), "event_id")
+    assert len(arrived) == 3 and arrived == sorted(arrived) and arrived[-1] == n
+    assert mapped.value == n
