@@ -29,11 +29,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from basketry.llm.common import text_slices, tidy, without
+from basketry.llm.common import keep, text_slices, tidy, without
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 LONG = 24
 CACHE = 500_000
+JOB = "byte_bpe"
 WORDS_PER_QUERY = 40_000
 IDS_PER_QUERY = 250_000
 
@@ -124,7 +125,8 @@ class Database:
 
 
 class Memory:
-    """Words met so far and their ids. A worker process keeps it from task to task, so that frequent words are merged once."""
+    """Words met so far and their ids. A worker process keeps it from task to task, so that frequent words are
+    merged once, until it goes on with another job."""
 
     def __init__(self):
         self.codes = Codes()
@@ -154,6 +156,7 @@ class Memory:
 
 @functools.lru_cache(maxsize=1)
 def _memory(path: str) -> Memory:
+    keep(JOB, _memory.cache_clear)
     return Memory()
 
 
@@ -313,7 +316,7 @@ def encode(df: DataFrame, text: str = "text", to: str = "ids", ranks: str | None
     path = ranks or public_tokenizers.path(RANKS)
     df = without(df, to)
     schema = T.StructType([*df.schema.fields, T.StructField(to, T.ArrayType(T.IntegerType()))])
-    return df.mapInArrow(tidy(lambda batches: _encode(batches, path, text, to)), schema)
+    return df.mapInArrow(tidy(lambda batches: _encode(batches, path, text, to), JOB), schema)
 
 
 def decode(df: DataFrame, ids: str = "ids", to: str = "decoded", ranks: str | None = None) -> DataFrame:
@@ -321,7 +324,7 @@ def decode(df: DataFrame, ids: str = "ids", to: str = "decoded", ranks: str | No
     path = ranks or public_tokenizers.path(RANKS)
     df = without(df, to)
     schema = T.StructType([*df.schema.fields, T.StructField(to, T.BinaryType())])
-    return df.mapInArrow(tidy(lambda batches: _decode(batches, path, ids, to)), schema)
+    return df.mapInArrow(tidy(lambda batches: _decode(batches, path, ids, to), JOB), schema)
 
 
 def round_trip(df: DataFrame, text: str = "text", ids: str = "ids", decoded: str = "decoded", ranks: str | None = None) -> DataFrame:
@@ -335,7 +338,7 @@ def round_trip(df: DataFrame, text: str = "text", ids: str = "ids", decoded: str
         encoded = (batch.drop_columns([text]) for batch in _encode(batches, path, text, ids))
         return _decode(encoded, path, ids, decoded)
 
-    return df.mapInArrow(tidy(run), schema)
+    return df.mapInArrow(tidy(run, JOB), schema)
 
 
 def digests(df: DataFrame, ids: str = "ids", decoded: str = "decoded") -> DataFrame:

@@ -17,7 +17,6 @@ import functools
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -177,9 +176,13 @@ def _without(text: str, lines: list[int], runs: list) -> str:
     return kept[:-1] if kept and (not whole or kept.endswith("\n")) else kept
 
 
-def _cut(texts: pd.Series, lines: pd.Series, runs: pd.Series) -> pd.Series:
-    none = lambda x: [] if x is None else list(x)
-    return pd.Series([None if t is None else _without(t, none(a), none(b)) for t, a, b in zip(texts, lines, runs)], dtype=object)
+def _cut(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+    for texts, lines, runs in batches:
+        parts = []
+        for start, stop in text_slices(texts):
+            rows = zip(*(c.slice(start, stop - start).to_pylist() for c in (texts, lines, runs)))
+            parts.append(pa.array([None if t is None else _without(t, a or [], b or []) for t, a, b in rows], pa.string()))
+        yield pa.concat_arrays(parts) if parts else pa.array([], pa.string())
 
 
 def remove(documents: DataFrame, runs: DataFrame | None = None, lines: DataFrame | None = None, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -202,7 +205,14 @@ def remove(documents: DataFrame, runs: DataFrame | None = None, lines: DataFrame
     text_key = F.xxhash64(F.col(t).cast("string"))
     rest = sifted(rest, [F.col(k).cast("long"), text_key], gone, ["_gone.doc_id", "_gone.text_key"])
     met = rest.where("_maybe").join(gone, F.col(k).eqNullSafe(F.col("_gone.doc_id")) & (text_key == F.col("_gone.text_key")), "left")
-    changed = F.when(F.col("_gone").isNull(), F.col(t)).otherwise(F.pandas_udf(_cut, "string")(F.col(t), F.col("_gone.lines"), F.col("_gone.runs")))
+
+    @F.arrow_udf("string")
+    def cut(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        yield from tidy(_cut)(batches)
+
+    # Only texts that lose something go to Python.
+    asked = F.when(F.col("_gone").isNotNull(), F.col(t).cast("string"))
+    changed = F.when(F.col("_gone").isNull(), F.col(t)).otherwise(cut(asked, F.col("_gone.lines"), F.col("_gone.runs")))
     count = sum(F.coalesce(F.greatest(F.size(c), F.lit(0)), F.lit(0)) for c in ("_gone.lines", "_gone.runs"))
 
     def named(rows: DataFrame, new_text: Column, removed: Column) -> DataFrame:

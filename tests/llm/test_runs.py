@@ -2,11 +2,12 @@
 
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from basketry.llm import repeated_runs, substring_dedup
-from basketry.llm.common import sifted
+from basketry.llm import byte_bpe, repeated_runs, substring_dedup
+from basketry.llm.common import CHUNK_BYTES, sifted, tidy
 from tests.llm.test_llm import ODD, edited
 
 rng = random.Random(23)
@@ -161,3 +162,24 @@ def test_a_sift_lets_all_partners_through_and_few_others(spark):
     kept = {r.id for r in sifted(docs, ["id"], found, ["id"]).where("_maybe").collect()}
     assert None in kept and wanted <= kept and len(kept) < 600
     assert sifted(docs, ["id"], docs.limit(0), ["id"]).where("_maybe").isEmpty()
+
+
+def test_a_worker_drops_what_it_kept_for_another_job():
+    byte_bpe._memory.cache_clear()
+    kept = byte_bpe._memory("ranks")
+    assert list(tidy(lambda batches: batches, byte_bpe.JOB)([1])) == [1]
+    assert byte_bpe._memory("ranks") is kept
+    assert list(tidy(lambda batches: batches)([2])) == [2]
+    assert byte_bpe._memory.cache_info().currsize == 0
+
+
+def test_texts_are_cut_slice_by_slice():
+    n = 3 * CHUNK_BYTES // 1000
+    texts = pa.array([None if i % 5 == 0 else "a b c\n" + "x" * 1000 for i in range(n)])
+    lines = pa.array([[1] if i % 5 == 1 else None for i in range(n)], pa.list_(pa.int32()))
+    run = pa.list_(pa.struct({"first_word": pa.int32(), "n_words": pa.int32()}))
+    runs = pa.array([[{"first_word": 0, "n_words": 2}] if i % 5 else None for i in range(n)], run)
+    parts = list(repeated_runs._cut(iter([(texts, lines, runs), (texts.slice(0, 0), lines.slice(0, 0), runs.slice(0, 0))])))
+    assert [len(p) for p in parts] == [n, 0]
+    whole = "c\n" + "x" * 1000
+    assert parts[0].to_pylist() == [None if i % 5 == 0 else "c" if i % 5 == 1 else whole for i in range(n)]
