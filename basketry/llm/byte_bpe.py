@@ -33,9 +33,9 @@ from basketry.llm.common import keep, text_slices, tidy, without
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 LONG = 24
-CACHE = 500_000
+CACHE = 300_000
 JOB = "byte_bpe"
-WORDS_PER_QUERY = 40_000
+WORDS_PER_QUERY = 20_000
 IDS_PER_QUERY = 250_000
 
 ENCODE = """
@@ -110,7 +110,9 @@ class Database:
     def __init__(self):
         import duckdb
 
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "300MB"})
+        # What a query freed goes back to the system: its allocator would keep it beside the words.
+        self.db = duckdb.connect(config={
+            "threads": 1, "memory_limit": "300MB", "allocator_flush_threshold": "4MB", "allocator_bulk_deallocation_flush_threshold": "4MB"})
 
     def __enter__(self):
         return self

@@ -182,4 +182,5 @@ def identify(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
                                 {model.languages[i]: float(row[i]) for i in np.flatnonzero(row > 1e-6)}))
             yield pd.DataFrame(out, columns=["lang_pred", "score", "languages"])
 
-    return df.withColumn("_found", predict(F.col(text))).select(*[F.col(f"`{c}`") for c in df.columns], "_found.*")
+    # Not deterministic for Spark alone: else a filter on the result is pushed below and each text is scored a second time.
+    return df.withColumn("_found", predict.asNondeterministic()(F.col(text))).select(*[F.col(f"`{c}`") for c in df.columns], "_found.*")

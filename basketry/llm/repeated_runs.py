@@ -210,9 +210,9 @@ def remove(documents: DataFrame, runs: DataFrame | None = None, lines: DataFrame
     def cut(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         yield from tidy(_cut)(batches)
 
-    # Only texts that lose something go to Python.
+    # Only texts that lose something go to Python, and once: a filter on the new text is not pushed below what Spark takes as not deterministic.
     asked = F.when(F.col("_gone").isNotNull(), F.col(t).cast("string"))
-    changed = F.when(F.col("_gone").isNull(), F.col(t)).otherwise(cut(asked, F.col("_gone.lines"), F.col("_gone.runs")))
+    changed = F.when(F.col("_gone").isNull(), F.col(t)).otherwise(cut.asNondeterministic()(asked, F.col("_gone.lines"), F.col("_gone.runs")))
     count = sum(F.coalesce(F.greatest(F.size(c), F.lit(0)), F.lit(0)) for c in ("_gone.lines", "_gone.runs"))
 
     def named(rows: DataFrame, new_text: Column, removed: Column) -> DataFrame:

@@ -6,8 +6,9 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from basketry.llm import byte_bpe, repeated_runs, substring_dedup
-from basketry.llm.common import CHUNK_BYTES, sifted, tidy
+from basketry.llm.common import CHUNK_BYTES, MOST_BYTES, ship, sifted, tidy
 from tests.llm.test_llm import ODD, edited
 
 rng = random.Random(23)
@@ -183,3 +184,31 @@ def test_texts_are_cut_slice_by_slice():
     assert [len(p) for p in parts] == [n, 0]
     whole = "c\n" + "x" * 1000
     assert parts[0].to_pylist() == [None if i % 5 == 0 else "c" if i % 5 == 1 else whole for i in range(n)]
+
+
+def test_stages_with_a_filter_send_each_text_to_python_once(spark, tmp_path, capsys):
+    """Else two workers a core score or cut the same texts, and stay for all stages that follow."""
+    rows = [(i, " ".join(prose(60)) + ("\n" + " ".join(VOCABULARY[:60])), "en", "web", 0) for i in range(6)] + [(9, "12 34", "en", "web", 5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    left = {"language": 6, "passages": 7}
+    for name, stage in corpus_pipeline.STAGES:
+        if name in left:
+            found = stage(spark, docs, str(tmp_path))
+            capsys.readouterr()
+            found.explain()
+            assert capsys.readouterr().out.count("ArrowEvalPython") == 1, name
+            assert found.count() == left[name]
+
+
+def test_batches_of_long_rows_are_bounded_by_bytes(spark):
+    ship(spark)
+    long = spark.range(0, 80, 1, 1).select(F.repeat(F.lit("x"), F.when(F.col("id") == 40, 5 * MOST_BYTES).otherwise(100_000)).alias("text"))
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"rows": [len(batch)], "size": [batch.nbytes]}, pa.schema([("rows", pa.int64()), ("size", pa.int64())]))
+
+    found = long.mapInArrow(sizes, "rows long, size long").collect()
+    assert sum(r["rows"] for r in found) == 80
+    assert sorted(r["size"] for r in found)[-2] <= MOST_BYTES + 200_000
+    assert max(r["size"] for r in found) <= 6 * MOST_BYTES + 200_000
