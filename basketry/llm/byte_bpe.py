@@ -1,14 +1,15 @@
 """Byte-level BPE encoding and decoding with DuckDB queries inside each Spark partition.
 
 A text is split by the tokenizer's pattern; each match is a word. A word that is a vocabulary entry is one token.
-Of the others, a worker encodes every distinct one once, as long as it remembers it: its bytes become rows (word, position, token), and a
-recursive query joins neighbouring tokens to the merge table and contracts, in each word and each round, the
-leftmost pair of lowest rank, until no pair is left. The merge table holds every way to split a vocabulary entry
-into two entries, which is how the public encoder finds pairs. Decoding joins the ids with the vocabulary and
-concatenates the bytes by position.
-
-A round handles one pair of a word, so the rows of one word grow with the square of its length. Words over
-``LONG`` bytes, up to pages of one letter, therefore take the same leftmost-lowest-rank steps on a heap.
+Of the others, a worker encodes every distinct one once, as long as it remembers it: its spans of two bytes and more
+are joined with the vocabulary, and a recursive query contracts, in each word and each round, the leftmost pair of
+lowest rank, until no pair is left. A pair is a span of the vocabulary that holds just two tokens, which is how the
+public encoder finds pairs, so the state of a word is a bit mask of the places where tokens meet. A span leaves the
+query as soon as one of its ends is no such place any more, and with the last pair of its word. Decoding takes the
+bytes of a text's ids from the vocabulary by position and concatenates them.
+
+A word has half as many spans as the square of its length, and a round handles one pair. Words over ``LONG`` bytes,
+up to pages of one letter, therefore take the same leftmost-lowest-rank steps on a heap.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ import heapq
 import re
 import unicodedata
 from collections.abc import Iterator
-from itertools import chain, islice
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -32,37 +33,39 @@ from pyspark.sql import types as T
 from basketry.llm.common import keep, text_slices, tidy, without
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
+# At most 30, as a span's key has five bits for each end.
 LONG = 24
 CACHE = 300_000
 JOB = "byte_bpe"
-WORDS_PER_QUERY = 20_000
+WORDS_PER_QUERY, SPANS_PER_QUERY = 20_000, 1_000_000
 IDS_PER_QUERY = 250_000
 
 ENCODE = """
-WITH RECURSIVE step(word, place, token, round) AS (
-    SELECT word, place, token, 0 FROM letters
+WITH RECURSIVE part AS (
+    SELECT word, bytes, first, past, substring(hex, 2 * first + 1, 2 * (past - first)) AS hex FROM words JOIN places ON past <= bytes
+), span AS MATERIALIZED (
+    SELECT word, bytes, rank * 1024 + first * 32 + past AS key, (1 << first) | (1 << past) AS ends, (1 << past) - (2 << first) AS inside
+    FROM part JOIN vocabulary USING (hex)
+), step(word, key, ends, inside, mask) AS (
+    SELECT word, key, ends, inside, (2 << bytes) - 1 FROM span
     UNION ALL
-    (WITH pair AS (
-        SELECT word, place, token, round,
-               lead(token) OVER w AS next_token, lead(place) OVER w AS next_place
-        FROM step WINDOW w AS (PARTITION BY word ORDER BY place)
-    ), lowest AS (
-        SELECT word, min(rank * 1024 + place) AS best
-        FROM pair JOIN merges ON token = first AND next_token = second GROUP BY word
+    (WITH lowest AS (
+        SELECT word, min(key) AS best FROM step WHERE bit_count(mask & inside) = 1 GROUP BY word
     ), target AS (
-        SELECT word, best // 1024 AS rank, place, next_place
-        FROM lowest JOIN pair USING (word) WHERE place = best % 1024
+        SELECT word, ~((1 << best % 32) - (2 << best // 32 % 32)) AS rest FROM lowest
     )
-    SELECT s.word, s.place, CASE WHEN s.place = t.place THEN t.rank ELSE s.token END, s.round + 1
-    FROM pair s JOIN target t USING (word) WHERE s.place <> t.next_place)
+    SELECT s.word, key, ends, inside, mask & rest FROM step s JOIN target USING (word)
+    WHERE mask & inside <> 0 AND mask & rest & ends = ends)
 ), ended AS (
-    SELECT word, max(round) AS round FROM step GROUP BY word
+    SELECT word, min(mask) AS mask FROM step WHERE mask & inside = 0 GROUP BY word
 )
-SELECT word, list(token ORDER BY place) AS ids FROM step JOIN ended USING (word, round) GROUP BY word ORDER BY word
+SELECT word, key // 32 % 32 AS first, key % 32 AS past, key // 1024 AS id
+FROM span JOIN ended USING (word) WHERE mask & ends = ends AND mask & inside = 0
 """
 
 DECODE = """
-SELECT text, string_agg(hex, '' ORDER BY place) AS hex, count(*) AS n FROM tokens JOIN vocabulary USING (id) GROUP BY text ORDER BY text
+SELECT text, coalesce(array_to_string(parts, ''), '') AS hex, list_count(parts) AS n
+FROM (SELECT text, list_select(entries, places) AS parts FROM tokens, vocabulary)
 """
 
 
@@ -104,6 +107,14 @@ class Words:
         return (self.general if self.beyond(text) else self.latin)(text)
 
 
+def _bounded(words: list[int], sizes: np.ndarray) -> list[list[int]]:
+    """``words`` query by query: no more than so many words, and words of no more than so many spans and one word's."""
+    share = np.maximum(sizes * (sizes - 1) // 2, SPANS_PER_QUERY // WORDS_PER_QUERY)
+    query = (np.cumsum(share) - share) // SPANS_PER_QUERY
+    edges = [0, *(np.flatnonzero(np.diff(query)) + 1).tolist(), len(words)]
+    return [words[a:b] for a, b in zip(edges, edges[1:]) if a < b]
+
+
 class Database:
     """A DuckDB of one Python worker, on one thread and bounded memory."""
 
@@ -168,11 +179,9 @@ class Encoder(Database):
         self.ranks = read_ranks(path)
         self.split = Words()
         self.memory = memory or Memory()
-        merges = np.array([
-            (self.ranks[v[:i]], self.ranks[v[i:]], r)
-            for v, r in self.ranks.items() for i in range(1, len(v)) if v[:i] in self.ranks and v[i:] in self.ranks
-        ], np.int32)
-        self._load("merges", pa.table({"first": merges[:, 0], "second": merges[:, 1], "rank": merges[:, 2]}))
+        self._load("vocabulary", pa.table({"hex": [v.hex() for v in self.ranks], "rank": pa.array(self.ranks.values(), pa.int32())}))
+        first, past = np.triu_indices(LONG + 1, 2)
+        self._load("places", pa.table({"first": first.astype(np.int32), "past": past.astype(np.int32)}))
 
     def encode(self, texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
         """Row ranges of the texts, with all their ids one after the other and how many each row has.
@@ -184,11 +193,11 @@ class Encoder(Database):
         self._learn(list(islice(memory.codes, len(memory.sizes), None)))
         if len(memory.codes) > CACHE:
             memory.forget()
-        found = []
+        found, none = [], np.empty(0, np.int32)
         for start, stop in text_slices(texts):
-            split = [self.split(t) if t else [] for t in texts.slice(start, stop - start).to_pylist()]
-            counts = np.array([len(w) for w in split], np.int64)
-            found.append((start, stop, counts, np.fromiter(map(memory.codes.__getitem__, chain.from_iterable(split)), np.int32, counts.sum())))
+            # Text by text, so that no more than one text's words are in memory, and near the processor.
+            split = [self._codes(t) if t else none for t in texts.slice(start, stop - start).to_pylist()]
+            found.append((start, stop, np.array([len(c) for c in split], np.int64), np.concatenate(split)))
             del split
         self._learn(list(islice(memory.codes, len(memory.sizes), None)))
         for start, stop, counts, codes in found:
@@ -197,6 +206,10 @@ class Encoder(Database):
             bounds = np.concatenate(([0], ends))[np.concatenate(([0], np.cumsum(counts)))]
             yield start, stop, flat, np.diff(bounds)
 
+    def _codes(self, text: str) -> np.ndarray:
+        words = self.split(text)
+        return np.fromiter(map(self.memory.codes.__getitem__, words), np.int32, len(words))
+
     def _learn(self, fresh: list[str]) -> None:
         """Encode words that no earlier text had."""
         if not fresh:
@@ -207,7 +220,7 @@ class Encoder(Database):
         long = {i: self.contract(d) for i, d in enumerate(data) if known[i] is None and len(d) > LONG}
         short = [i for i, k in enumerate(known) if k is None and i not in long]
         sizes = np.ones(len(fresh), np.int64)
-        parts = [self._merge([data[i] for i in short[a:a + WORDS_PER_QUERY]]) for a in range(0, len(short), WORDS_PER_QUERY)]
+        parts = [self._merge([data[i] for i in some]) for some in _bounded(short, np.array([len(data[i]) for i in short], np.int64))]
         sizes[short] = np.concatenate([n for _, n in parts]) if parts else 0
         sizes[list(long)] = [len(ids) for ids in long.values()]
         starts = np.cumsum(sizes) - sizes
@@ -228,14 +241,19 @@ class Encoder(Database):
         """Ids of the words one after the other, and how many each has."""
         single = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
         sizes = np.array([len(w) for w in words])
-        ends = np.cumsum(sizes)
-        self._load("letters", pa.table({
-            "word": np.repeat(np.arange(len(words), dtype=np.int32), sizes),
-            "place": (np.arange(ends[-1]) - np.repeat(ends - sizes, sizes)).astype(np.int32),
-            "token": single[np.frombuffer(b"".join(words), np.uint8)],
-        }))
-        found = self.db.sql(ENCODE).to_arrow_table().column("ids").combine_chunks()
-        return found.flatten().to_numpy(), found.value_lengths().to_numpy()
+        starts = np.cumsum(sizes) - sizes
+        self._load("words", pa.table({
+            "word": np.arange(len(words), dtype=np.int32), "hex": [w.hex() for w in words], "bytes": sizes.astype(np.int32)}))
+        found = self.db.sql(ENCODE).to_arrow_table()
+        word, first, past, ids = (found.column(c).to_numpy() for c in ("word", "first", "past", "id"))
+        # Bytes outside all spans found are tokens of their own; a span's token stands at its first byte.
+        tokens = single[np.frombuffer(b"".join(words), np.uint8)]
+        tokens[starts[word] + first] = ids
+        inner = np.zeros(len(tokens) + 1, np.int8)
+        inner[starts[word] + first + 1] = 1
+        inner[starts[word] + past] -= 1
+        kept = np.cumsum(inner[:-1]) == 0
+        return tokens[kept], np.add.reduceat(kept, starts, dtype=np.int64)
 
     def contract(self, data: bytes) -> list[int]:
         """The same contraction of one long word with a heap of (rank, position)."""
@@ -262,19 +280,21 @@ class Encoder(Database):
 class Decoder(Database):
     def __init__(self, path: str):
         super().__init__()
-        ranks = read_ranks(path)
-        self._load("vocabulary", pa.table({"id": pa.array(ranks.values(), pa.int32()), "hex": [v.hex() for v in ranks]}))
+        entries = {r: v.hex() for v, r in read_ranks(path).items()}
+        self._load("vocabulary", pa.table({"entries": pa.array([[entries.get(i) for i in range(max(entries) + 1)]], pa.list_(pa.string()))}))
 
     def decode(self, ids: np.ndarray, sizes: np.ndarray) -> list[bytes]:
         """Bytes of each run of ``sizes`` ids; unknown ids raise an error."""
-        text = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+        ends = np.cumsum(sizes)
         parts: list[list[bytes]] = [[] for _ in sizes]
         # A query takes a bounded number of ids, also of one long text; the parts of a text follow each other.
         for start in range(0, len(ids), IDS_PER_QUERY):
             stop, found = min(start + IDS_PER_QUERY, len(ids)), 0
-            self._load("tokens", pa.table({
-                "text": text[start:stop], "place": np.arange(start, stop), "id": np.asarray(ids[start:stop], np.int32),
-            }))
+            some = np.arange(np.searchsorted(ends, start, "right"), np.searchsorted(ends, stop, "left") + 1)
+            offsets = np.concatenate(([0], np.minimum(ends[some], stop) - start)).astype(np.int32)
+            # Places count from 1; at 0 there is no entry, below it they would count from the end.
+            places = np.maximum(np.asarray(ids[start:stop], np.int32), -1) + 1
+            self._load("tokens", pa.table({"text": some, "places": pa.ListArray.from_arrays(pa.array(offsets), pa.array(places))}))
             for row, hex_, n in self.db.execute(DECODE).fetchall():
                 parts[row].append(bytes.fromhex(hex_))
                 found += n

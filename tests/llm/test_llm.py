@@ -9,6 +9,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -269,6 +270,66 @@ def test_byte_bpe_equals_the_library(spark):
     assert byte_bpe.round_trip(frame.limit(0)).count() == 0
 
 
+def test_byte_bpe_equals_the_library_for_any_order_of_ranks(tmp_path):
+    import public_tokenizers
+    import tiktoken
+
+    r = random.Random(8)
+    for _ in range(20):
+        entries = [bytes([b]) for b in range(256)]
+        entries += sorted({bytes(r.choice(b"ab") for _ in range(r.randint(2, 6))) for _ in range(60)} | {"é".encode(), "日é".encode()}, key=lambda v: r.random())
+        r.shuffle(entries)
+        ranks = {v: i for i, v in enumerate(entries)}
+        path = tmp_path / "own.tiktoken"
+        path.write_text("".join(f"{base64.b64encode(v).decode()} {i}\n" for v, i in ranks.items()))
+        library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        words = ["".join(r.choice("ab") for _ in range(n)) for n in range(1, byte_bpe.LONG + 3) for _ in range(8)]
+        texts = words + [" ".join(words), "a" * byte_bpe.LONG, "b" * (byte_bpe.LONG + 1), "日é" * 4, "zzz", None, "", "日本 é1 aab"]
+        with byte_bpe.Encoder(str(path)) as bpe, byte_bpe.Decoder(str(path)) as back:
+            got = []
+            for start, stop, flat, sizes in bpe.encode(pa.array(texts)):
+                assert [d.decode() for d in back.decode(flat, sizes)] == [t or "" for t in texts[start:stop]]
+                got += [part.tolist() for part in np.split(flat, np.cumsum(sizes)[:-1])]
+        assert got == [library.encode_ordinary(t or "") for t in texts]
+
+
+def test_byte_bpe_queries_take_a_row_a_word_and_a_row_a_text(monkeypatch):
+    import public_tokenizers
+
+    path, rows, load = public_tokenizers.path(byte_bpe.RANKS), {}, byte_bpe.Database._load
+    with byte_bpe.Encoder(path) as bpe, byte_bpe.Decoder(path) as back:
+        monkeypatch.setattr(byte_bpe.Database, "_load", lambda self, name, t: (rows.update({name: rows.get(name, 0) + len(t)}), load(self, name, t))[1])
+        words = ["".join(rng.choice("bcdfgxyz") for _ in range(12)) for _ in range(300)]
+        texts = [" ".join(rng.choice(words) for _ in range(200)) for _ in range(20)]
+        for _, _, flat, sizes in bpe.encode(pa.array(texts)):
+            assert [d.decode() for d in back.decode(flat, sizes)] == texts
+    assert sum(rows.values()) <= 2 * len(words) + len(texts)
+
+
+def test_byte_bpe_queries_have_bounded_words_and_spans(monkeypatch):
+    monkeypatch.setattr(byte_bpe, "WORDS_PER_QUERY", 10)
+    monkeypatch.setattr(byte_bpe, "SPANS_PER_QUERY", 400)
+    sizes = np.array([2] * 35 + [24] * 7 + [9] * 30 + [2])
+    parts = byte_bpe._bounded(list(range(len(sizes))), sizes)
+    assert [i for p in parts for i in p] == list(range(len(sizes)))
+    assert all(len(p) <= 10 and sum(sizes[i] * (sizes[i] - 1) // 2 for i in p[:-1]) < 400 for p in parts)
+    assert byte_bpe._bounded([], sizes[:0]) == []
+
+
+def test_byte_bpe_decodes_texts_over_several_queries_and_no_unknown_ids(monkeypatch):
+    import public_tokenizers
+
+    with byte_bpe.Decoder(public_tokenizers.path(byte_bpe.RANKS)) as back:
+        monkeypatch.setattr(byte_bpe, "IDS_PER_QUERY", 2)
+        ids = np.array([64, 65, 66, 67, 68], np.int32)
+        assert back.decode(ids, np.array([0, 1, 0, 4, 0])) == [b"", b"a", b"", b"bcde", b""]
+        assert back.decode(ids, np.array([2, 0, 2, 1])) == [b"ab", b"", b"cd", b"e"]
+        assert back.decode(ids[:0], np.array([0, 0])) == [b"", b""]
+        for unknown in ([-1], [64, -2], [10**6], [64, 2**31 - 1]):
+            with pytest.raises(ValueError):
+                back.decode(np.array(unknown, np.int64), np.array([len(unknown)]))
+
+
 def test_token_counts_equal_the_library(spark):
     import public_tokenizers
     import sentencepiece
