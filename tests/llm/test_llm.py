@@ -5,6 +5,7 @@ import hashlib
 import itertools
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -13,9 +14,10 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from basketry.llm import (byte_bpe, decontaminate, html_extract, language_id, ngram_join, quality, repeated_runs, set_links, substring_dedup,
+from basketry.llm import (byte_bpe, common, decontaminate, html_extract, language_id, ngram_join, quality, repeated_runs, set_links, substring_dedup,
                           token_counts, voronoi_knn, warc)
 from basketry.llm.components import components
+from basketry.sources import paths
 
 rng = random.Random(7)
 VOCABULARY = ["".join(rng.choice("abcdefghijklmno") for _ in range(rng.randint(2, 9))) for _ in range(400)]
@@ -108,6 +110,29 @@ def test_large_clusters_are_dealt_to_blocks_that_hold_every_pair(spark, monkeypa
     assert got == reached({i: shingles(t) for i, t in enumerate(texts)})
 
 
+def shuffle_files(spark):
+    manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    return {b.name() for b in map(manager.getAllBlocks().apply, range(manager.getAllBlocks().size())) if b.name().startswith("shuffle_")}
+
+
+def test_stored_leaves_no_shuffle_files(spark):
+    plain = spark.conf.get(common.SHUFFLES_GO, "false")
+    before = shuffle_files(spark)
+    table = common.stored(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).agg(F.collect_list("id").alias("ids")), "kept")
+    until = time.time() + 20
+    while shuffle_files(spark) - before and time.time() < until:
+        time.sleep(0.1)
+    assert not shuffle_files(spark) - before
+    assert spark.conf.get(common.SHUFFLES_GO, "false") == plain
+    assert sorted(len(r.ids) for r in table.collect()) == [142, 143, 143, 143, 143, 143, 143]
+
+
+def test_discard_deletes_a_stored_table_only(spark):
+    gone, kept = common.stored(spark.range(5), "gone"), common.stored(spark.range(5), "kept")
+    common.discard(gone)
+    assert not paths.exists(spark, gone._stored_at) and kept.count() == 5
+
+
 def test_components_of_a_path_and_a_star(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, k) for k in range(101, 160)] + [(7, 7), (500, 500), (None, 3)]
     got = {r.node: r.component for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}
@@ -399,6 +424,23 @@ def test_hamming_blocks_meet_within_the_radius(spark):
     assert rows.where(F.size(F.array_intersect("a", "b")) == 0).count() == 0
 
 
+def test_pipeline_keeps_one_stage_on_disk(spark, tmp_path, monkeypatch):
+    import corpus_pipeline
+
+    made, write = [], corpus_pipeline.stored
+
+    def noted(df, name):
+        made.append(write(df, name))
+        return made[-1]
+
+    documents(spark, ["a b", "c"]).write.parquet(f"{tmp_path}/documents.parquet")
+    monkeypatch.setattr(corpus_pipeline, "stored", noted)
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [(name, lambda spark, docs, folder: docs.where("true")) for name in "abcd"])
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 2
+    left = [df.inputFiles()[0].rpartition("/")[0] for df in made]
+    assert [any(n.startswith("part") for n in paths.names(spark, p)) for p in left] == [False, False, True]
+
+
 def test_pipeline_stages(spark, tmp_path):
     import corpus_pipeline
 
