@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketry.llm.common import mix, shingle_sets, sifted, signature, stored, tidy
+from basketry.llm.common import discard, mix, shingle_sets, sifted, signature, stored, tidy
 from basketry.llm.set_links import clusters, linked
 
 MIN_WORDS = 50
@@ -109,7 +109,9 @@ def repeated(documents: DataFrame, min_words: int = MIN_WORDS, key: str = "doc_i
     maybe = sifted(base, ["doc_id"], wanted, ["doc_id"]).where("_maybe")
     sets = maybe.join(wanted, "doc_id").select("doc_id", "text", "text_key", "only").mapInArrow(
         tidy(elements), "id long, n long, elements binary").dropDuplicates(["id"])
-    found = stored(linked(sets, near), "passage-links").withColumnRenamed("id", "sig")
+    members = stored(sets.join(near, "id"), "passage-members")
+    found = stored(linked(members), "passage-links").withColumnRenamed("id", "sig")
+    discard(members, near, wanted)
 
     labelled = stored(classes.join(found, "sig", "left").select(
         "sig", "rep", "copies", F.coalesce("component", "sig").alias("component"), F.coalesce("n_links", F.lit(0)).alias("n_links")),

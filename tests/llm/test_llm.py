@@ -110,6 +110,24 @@ def test_large_clusters_are_dealt_to_blocks_that_hold_every_pair(spark, monkeypa
     assert got == reached({i: shingles(t) for i, t in enumerate(texts)})
 
 
+def test_large_clusters_are_sent_in_rounds(spark, monkeypatch):
+    monkeypatch.setattr(set_links, "BLOCK", 8)
+    r = random.Random(11)
+    texts = [edited(t, r.randint(0, 2), r) for t in [prose(60, r)] * 60] + [prose(20, r) for _ in range(5)]
+    sent, write = [], set_links.stored
+
+    def counted(df, name):
+        if name == "links":
+            frame = df._jdf.queryExecution().optimizedPlan().children().head()
+            sent.append(spark._jvm.org.apache.spark.sql.classic.Dataset.ofRows(spark._jsparkSession, frame).count())
+        return write(df, name)
+
+    monkeypatch.setattr(set_links, "stored", counted)
+    got = {r.doc_id: (r.component_id, r.n_links) for r in ngram_join.component_rows(documents(spark, texts)).collect()}
+    assert got == reached({i: shingles(t) for i, t in enumerate(texts)})
+    assert len(sent) > 2 and max(sent) < 2 * len(texts) < sum(sent)
+
+
 def shuffle_files(spark):
     manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
     return {b.name() for b in map(manager.getAllBlocks().apply, range(manager.getAllBlocks().size())) if b.name().startswith("shuffle_")}
@@ -133,6 +151,23 @@ def test_discard_deletes_a_stored_table_only(spark):
     assert not paths.exists(spark, gone._stored_at) and kept.count() == 5
 
 
+def test_ngram_join_leaves_no_sets_on_disk(spark, monkeypatch):
+    made = []
+    for module in (ngram_join, set_links):
+        def noted(df, name, write=module.stored):
+            made.append((name, write(df, name)))
+            return made[-1][1]
+
+        monkeypatch.setattr(module, "stored", noted)
+    r = random.Random(12)
+    texts = [edited(t, 1, r) for t in [prose(120, r)] * 12]
+    rows = ngram_join.component_rows(documents(spark, texts))
+    left = {name for name, df in made if any(not f.startswith(("_", ".")) for f in paths.names(spark, df.inputFiles()[0].rpartition("/")[0]))}
+    assert {name for name, _ in made} >= {"shared", "sets", "members", "links"}
+    assert left <= {"described", "named", "links", "large-clusters"}
+    assert rows.count() == len(texts)
+
+
 def test_components_of_a_path_and_a_star(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, k) for k in range(101, 160)] + [(7, 7), (500, 500), (None, 3)]
     got = {r.node: r.component for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}
